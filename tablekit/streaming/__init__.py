@@ -1,0 +1,5 @@
+"""Nothing is built here: the engine's scope is batch only (see README).
+
+The functions in ``tablekit.functions`` are plain column expressions and work
+on a ``readStream`` table as they are.
+"""
