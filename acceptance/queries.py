@@ -85,12 +85,13 @@ def _read_delimited(spark, folder):
 
 @query("cleanse_tokens")
 def _cleanse_tokens(spark, folder):
-    items = X.cleanse(F.col("text"))
-    return read_table(spark, folder, "documents").select(
+    documents = read_table(spark, folder, "documents")
+    baskets = documents.select("doc_id", X.cleanse(F.col("text")).alias("items"))
+    return baskets.select(
         "doc_id",
-        F.size(items).alias("n_items"),
-        F.get(items, 0).alias("first_item"),
-        F.md5(F.array_join(items, "|")).alias("items_md5"),
+        F.size("items").alias("n_items"),
+        F.get("items", F.lit(0)).alias("first_item"),
+        F.md5(F.array_join("items", "|")).alias("items_md5"),
     )
 
 

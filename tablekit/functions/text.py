@@ -8,14 +8,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character that counts as white space at the ends of an
-# item (the Unicode separators plus the ASCII control spaces). F.trim would
-# remove the plain space only.
-_SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
+# item. F.trim alone would remove the plain space only.
+_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(text, f"^{_SPACE}|{_SPACE}$", "")
+    return F.btrim(text, F.lit(_SPACE))
 
 
 def cleanse(line: Column, sep: str = ",") -> Column:

@@ -104,9 +104,9 @@ def _pairs(baskets: DataFrame, condition: Column, times: Column, block_items: in
     ]
     baskets = baskets.select("basket_id", "item").filter(F.col("basket_id").isNotNull())
     sizes = baskets.groupBy("basket_id").agg(F.count("*").alias("n"))
-    large = written(sizes.filter(F.col("n") > block_items).select("basket_id"), "large-ids")
-    if large.isEmpty():
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= block_items:
         return _ordinary_pairs(baskets, condition).select(*columns)
+    large = written(sizes.filter(F.col("n") > block_items).select("basket_id"), "large-ids")
     ordinary = _ordinary_pairs(baskets.join(large, "basket_id", "left_anti"), condition)
     blocked = _block_pairs(baskets.join(large, "basket_id", "left_semi"), condition, block_items)
     return ordinary.select(*columns).unionByName(blocked.select(*columns))

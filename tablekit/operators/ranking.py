@@ -134,11 +134,14 @@ def add_index(
     """Contiguous 0-based index, in the given order or else in input order.
 
     Each task numbers its own rows; the numbered table is written once, and the
-    rows before each partition (one number per partition) are added to it. Give
-    an order without ties for a repeatable result.
+    rows before each partition (one number per partition) are added to it. Tied
+    rows keep their input order, which also lets the sort spread a value that
+    most rows share over many tasks.
     """
-    placed = df if order_by is None else df.orderBy(*order_by)
-    placed = placed.withColumn("_id", F.monotonically_increasing_id())
+    position = F.monotonically_increasing_id()
+    placed = df.withColumn("_id", position)
+    if order_by is not None:
+        placed = placed.orderBy(*order_by, "_id").withColumn("_id", position)
     rows = written(placed, "indexed").withColumn(
         "_part", F.shiftrightunsigned(F.col("_id"), _ROW_BITS)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -14,14 +15,25 @@ from tablekit.scratch import shared_folder
 _MAX_INT = 2**31 - 1
 
 
-def dense_ids(df: DataFrame, column: str) -> DataFrame | None:
-    """A table ``(column, id)`` of dense ids, or None when the values fit an int.
-
-    The solver stores ids as 32-bit integers.
-    """
-    low, high = df.agg(F.min(column), F.max(column)).first()
-    if isinstance(low, int) and -_MAX_INT - 1 <= low and high <= _MAX_INT:
-        return None
+def too_wide(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The id columns that hold anything but 32-bit integers; one pass over the table."""
+    unknown = [c for c in columns if dict(df.dtypes)[c] not in ("int", "smallint", "tinyint")]
+    longs = [c for c in unknown if dict(df.dtypes)[c] == "bigint"]
+    wide = [c for c in unknown if c not in longs]
+    if longs:
+        bounds = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in longs for f in (F.min, F.max)])
+        found = bounds.first()
+        wide += [
+            c
+            for c in longs
+            if found[f"min_{c}"] is not None
+            and (found[f"min_{c}"] < -_MAX_INT - 1 or found[f"max_{c}"] > _MAX_INT)
+        ]
+    return wide
+
+
+def dense_ids(df: DataFrame, column: str) -> DataFrame:
+    """A table ``(column, id)`` numbering the different values from 0."""
     known = df.select(column).filter(F.col(column).isNotNull()).distinct()
     ids = add_index(known, [F.col(column)], "id")
     return ids.withColumn("id", F.col("id").cast("int"))
@@ -91,7 +103,11 @@ def als_fit(
     context = ratings.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(ratings.sparkSession))
-    users, items = dense_ids(ratings, "user_id"), dense_ids(ratings, "movie_id")
+    # The solver stores ids as 32-bit integers; others are numbered first.
+    wide = too_wide(ratings, ["user_id", "movie_id"])
+    users, items = (
+        dense_ids(ratings, c) if c in wide else None for c in ("user_id", "movie_id")
+    )
     triples = _to_id(_to_id(ratings, "user_id", users), "movie_id", items)
     blocks = blocks or context.defaultParallelism
     als = ALS(
