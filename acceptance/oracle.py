@@ -386,6 +386,7 @@ ORACLE: dict[str, str] = {
         FROM t GROUP BY 1, 2, 3
     """,
     "pair_counts": f"{COMBINATIONS} SELECT item1, item2, count FROM n",
+    "pair_counts_ordered": f"{PERMUTATIONS} SELECT item1, item2, count_xy AS count FROM xy",
     "pair_support": _support(),
     "pair_support_per_basket": _support(
         denominator="(SELECT COUNT(DISTINCT basket_id) FROM b)"

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from acceptance import domain as D
 from tablekit import functions as X
+from tablekit.functions.labels import MPG_CLASSES
 from tablekit.operators import aggregate as A
 from tablekit.operators import basket as B
 from tablekit.operators import cluster, joins, quality, ranking, recommend, sql
@@ -30,13 +31,6 @@ from tablekit.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Mileage boundaries applied to part sizes.
-SIZE_BINS = {
-    "low": {"max_value": 20},
-    "mid": {"min_value": 20, "max_value": 30},
-    "high": {"min_value": 30, "max_value": 40},
-    "very high": {"min_value": 40},
-}
 RETURNED = {"l_returnflag": "R", "l_linestatus": "F"}
 BRAND = {"p_brand": "Brand#2"}
 
@@ -163,7 +157,7 @@ def _prefix_concat(spark, folder):
 
 @query("bin_column")
 def _bin_column(spark, folder):
-    label = X.bin_label(F.col("p_size"), SIZE_BINS).alias("size_class")
+    label = X.bin_label(F.col("p_size"), MPG_CLASSES).alias("size_class")
     return read_table(spark, folder, "part").select("p_partkey", label)
 
 
@@ -382,7 +376,8 @@ def _distinct_by(spark, folder):
 
 @query("top_users")
 def _top_users(spark, folder):
-    return ranking.top_n_by(D.ratings(spark, folder), ["user_id"], 10)
+    ratings = D.ratings(spark, folder)
+    return ranking.top_n_by(ratings, [A.column_at(ratings, 1)], 10)
 
 
 def _years(spark, folder):
@@ -519,6 +514,11 @@ def _pair_counts(spark, folder):
     return _counted_pairs(spark, folder)
 
 
+@query("pair_counts_ordered")
+def _pair_counts_ordered(spark, folder):
+    return B.ordered_pair_counts(D.baskets(spark, folder))
+
+
 @query("pair_support")
 def _pair_support(spark, folder):
     return _rounded(B.pair_support(_counted_pairs(spark, folder)), 9, "support")
@@ -546,8 +546,7 @@ def _pair_bottom_support(spark, folder):
 
 def _confidence(spark, folder):
     baskets = D.baskets(spark, folder)
-    counts = B.pair_counts(B.pair_permutations(baskets))
-    return B.pair_confidence(counts, B.item_counts(baskets))
+    return B.pair_confidence(B.ordered_pair_counts(baskets), B.item_counts(baskets))
 
 
 @query("pair_confidence")

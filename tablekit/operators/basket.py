@@ -31,7 +31,7 @@ def largest_basket(baskets: DataFrame) -> DataFrame:
 
 def largest_basket_items(baskets: DataFrame) -> DataFrame:
     """The rows of the largest basket, with its size."""
-    return baskets.join(F.broadcast(largest_basket(baskets)), on="basket_id")
+    return baskets.join(largest_basket(baskets), on="basket_id")
 
 
 def distinct_item_count(baskets: DataFrame) -> DataFrame:
@@ -63,67 +63,107 @@ def _multiplicities(baskets: DataFrame) -> DataFrame:
     return baskets.groupBy("basket_id", "item").agg(F.count("*").alias("m"))
 
 
-def _ordinary_pairs(baskets: DataFrame, condition: Column) -> DataFrame:
-    """Item pairs of baskets of at most a block of rows: one shuffle by basket."""
-    items = _multiplicities(baskets.repartition("basket_id"))
-    return items.alias("x").join(items.alias("y"), on="basket_id").filter(condition)
+def _items_by_size(baskets: DataFrame, block_items: int) -> tuple[DataFrame, DataFrame | None]:
+    """Multiplicities of the ordinary and, if there are any, of the large baskets.
 
+    Ordinary baskets have at most ``block_items`` rows and are shuffled whole,
+    once, by basket. The rows of large ones are counted before they leave their
+    task.
+    """
+    baskets = baskets.select("basket_id", "item").filter(F.col("basket_id").isNotNull())
+    sizes = baskets.groupBy("basket_id").agg(F.count("*").alias("n"))
+    large: DataFrame | None = None
+    if (sizes.agg(F.max("n")).first()[0] or 0) > block_items:
+        ids = written(sizes.filter(F.col("n") > block_items).select("basket_id"), "large-ids")
+        large = written(
+            _multiplicities(baskets.join(ids, "basket_id", "left_semi")), "large-baskets"
+        )
+        baskets = baskets.join(ids, "basket_id", "left_anti")
+    return _multiplicities(baskets.repartition("basket_id")), large
+
+
+def _ordinary_pairs(items: DataFrame) -> DataFrame:
+    pairs = items.alias("x").join(items.alias("y"), on="basket_id")
+    return pairs.filter(F.col("x.item") < F.col("y.item")).select(
+        "basket_id",
+        F.col("x.item").alias("item1"),
+        F.col("y.item").alias("item2"),
+        (F.col("x.m") * F.col("y.m")).alias("times"),
+    )
 
-def _block_pairs(baskets: DataFrame, condition: Column, block_items: int) -> DataFrame:
-    """Item pairs of large baskets, each basket spread over a grid of tasks.
 
-    The distinct items of a basket are hashed into blocks; cell (i, j) of the
-    grid pairs block i with block j, so no task holds more than about two blocks
-    and every pair meets in exactly one cell.
+def _block_pairs(items: DataFrame, block_items: int) -> DataFrame:
+    """Pairs of large baskets, each basket spread over a grid of tasks.
+
+    The items of a basket are hashed into blocks; cell (i, j) of the grid, with
+    i <= j, pairs block i with block j. No cell holds more than about two blocks
+    of items, and every pair meets in exactly one cell.
     """
-    items = written(_multiplicities(baskets), "large-baskets")
     n_blocks = F.ceil(F.count("*") / F.lit(block_items)).cast("int").alias("blocks")
     blocks = written(items.groupBy("basket_id").agg(n_blocks), "large-blocks")
-    placed = items.join(blocks, on="basket_id").select(
-        "basket_id",
-        "item",
-        "m",
-        F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int").alias("block"),
-        F.sequence(F.lit(0), F.col("blocks") - 1).alias("others"),
+    placed = items.join(blocks, on="basket_id").withColumn(
+        "block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
     )
-    left = placed.select(
-        "basket_id", "item", "m", F.col("block").alias("i"), F.explode("others").alias("j")
+    later = F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))
+    earlier = F.explode(F.sequence(F.lit(0), F.col("block")))
+    left = placed.select("basket_id", "item", "m", F.col("block").alias("i"), later.alias("j"))
+    right = placed.select("basket_id", "item", "m", earlier.alias("i"), F.col("block").alias("j"))
+    pairs = left.alias("x").join(right.alias("y"), on=["basket_id", "i", "j"])
+    once = (F.col("i") < F.col("j")) | (F.col("x.item") < F.col("y.item"))
+    return pairs.filter(once).select(
+        "basket_id",
+        F.least("x.item", "y.item").alias("item1"),
+        F.greatest("x.item", "y.item").alias("item2"),
+        (F.col("x.m") * F.col("y.m")).alias("times"),
     )
-    right = placed.select(
-        "basket_id", "item", "m", F.explode("others").alias("i"), F.col("block").alias("j")
+
+
+def _unordered(ordinary: DataFrame, large: DataFrame | None, block_items: int) -> DataFrame:
+    pairs = _ordinary_pairs(ordinary)
+    return pairs if large is None else pairs.unionByName(_block_pairs(large, block_items))
+
+
+def _repeats(ordinary: DataFrame, large: DataFrame | None) -> DataFrame:
+    """Pairs of an item with itself; they need no join."""
+    items = ordinary if large is None else ordinary.unionByName(large)
+    return items.filter(F.col("m") > 1).select(
+        "basket_id",
+        F.col("item").alias("item1"),
+        F.col("item").alias("item2"),
+        (F.col("m") * (F.col("m") - 1)).alias("times"),
     )
-    return left.alias("x").join(right.alias("y"), on=["basket_id", "i", "j"]).filter(condition)
 
 
-def _pairs(baskets: DataFrame, condition: Column, times: Column, block_items: int) -> DataFrame:
-    columns = [
-        F.col("basket_id"),
-        F.col("x.item").alias("item1"),
-        F.col("y.item").alias("item2"),
-        times.alias("times"),
-    ]
-    baskets = baskets.select("basket_id", "item").filter(F.col("basket_id").isNotNull())
-    sizes = baskets.groupBy("basket_id").agg(F.count("*").alias("n"))
-    if (sizes.agg(F.max("n")).first()[0] or 0) <= block_items:
-        return _ordinary_pairs(baskets, condition).select(*columns)
-    large = written(sizes.filter(F.col("n") > block_items).select("basket_id"), "large-ids")
-    ordinary = _ordinary_pairs(baskets.join(large, "basket_id", "left_anti"), condition)
-    blocked = _block_pairs(baskets.join(large, "basket_id", "left_semi"), condition, block_items)
-    return ordinary.select(*columns).unionByName(blocked.select(*columns))
+def _both_orders(pairs: DataFrame) -> DataFrame:
+    others = [c for c in pairs.columns if c not in ("item1", "item2")]
+    order = F.array(
+        F.struct("item1", "item2"),
+        F.struct(F.col("item2").alias("item1"), F.col("item1").alias("item2")),
+    )
+    return pairs.select(*others, F.inline(order)).select(pairs.columns)
 
 
 def pair_combinations(baskets: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Unordered pairs ``(basket_id, item1 < item2, times)``; an item never meets itself."""
-    return _pairs(
-        baskets, F.col("x.item") < F.col("y.item"), F.col("x.m") * F.col("y.m"), block_items
-    )
+    return _unordered(*_items_by_size(baskets, block_items), block_items)
 
 
 def pair_permutations(baskets: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Ordered pairs ``(basket_id, item1, item2, times)``, an item with its repeats included."""
-    same = F.col("x.item") == F.col("y.item")
-    partners = F.when(same, F.col("y.m") - 1).otherwise(F.col("y.m"))
-    return _pairs(baskets, ~same | (F.col("x.m") > 1), F.col("x.m") * partners, block_items)
+    ordinary, large = _items_by_size(baskets, block_items)
+    pairs = _both_orders(_unordered(ordinary, large, block_items))
+    return pairs.unionByName(_repeats(ordinary, large))
+
+
+def ordered_pair_counts(baskets: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """``pair_counts`` of the permutations.
+
+    Only unordered pairs are joined and counted; both orders of a pair have the
+    same count.
+    """
+    ordinary, large = _items_by_size(baskets, block_items)
+    counts = _both_orders(pair_counts(_unordered(ordinary, large, block_items)))
+    return counts.unionByName(pair_counts(_repeats(ordinary, large)))
 
 
 def pair_baskets(pairs: DataFrame, ids_per_row: int = 100_000) -> DataFrame:
@@ -150,10 +190,11 @@ def pair_support(counts: DataFrame, n_baskets: Column | None = None) -> DataFram
     """Pair counts with ``support``: the share of all pair occurrences.
 
     ``n_baskets`` (a number or scalar subquery) replaces that denominator by the
-    number of baskets.
+    number of baskets. The total needs the counts a second time, so they are
+    written first: pairing the baskets twice would cost far more.
     """
     if n_baskets is None:
-        return with_share(counts, "support")
+        return with_share(written(counts, "pair-counts"), "support")
     return counts.withColumn("support", F.col("count") * F.lit(1.0) / n_baskets)
 
 

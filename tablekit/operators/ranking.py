@@ -98,10 +98,11 @@ def top_n_lookup(
 ) -> DataFrame:
     """The ``n`` most frequent keys with the columns of ``names``, largest first.
 
-    The broadcast side has at most ``n`` rows; ``names`` is only scanned.
+    Spark knows the top side has at most ``n`` rows and broadcasts it when that
+    is little; ``names`` is then only scanned.
     """
     top = top_n_by(df, [key], n).withColumnRenamed("count", count_name)
-    found = names.join(F.broadcast(top), on=[key], how="inner")
+    found = names.join(top, on=[key], how="inner")
     return found.orderBy(F.desc(quoted(count_name)), F.col(quoted(key)))
 
 
@@ -152,5 +153,6 @@ def add_index(
         "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
     row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    # The broadcast holds one row per task that wrote the table.
     indexed = rows.join(F.broadcast(offsets), on="_part")
     return indexed.withColumn(name, F.col("_before") + row).drop("_part", "_id", "_before")

@@ -164,10 +164,10 @@ def top_n_per_age_group(
     totals = stats.groupBy("age_group").agg(F.sum("n_reviews").alias("group_total"))
     known = stats.filter(F.col("age_group").isin([label for _, _, label in AGE_GROUPS]))
     best = top_n_per_group(known, ["age_group"], [F.desc("n_reviews"), F.asc("movie_id")], n)
-    # At most one total per label and n movies per label are broadcast.
+    # The broadcast holds one row per age-group label.
     best = best.join(F.broadcast(totals), on="age_group")
     lists = group_lists(stats, "movie_id", "age_group", "age_groups")
-    return lists.join(F.broadcast(best), on="movie_id").select(
+    return lists.join(best, on="movie_id").select(
         "age_group",
         "group_total",
         "age_groups",

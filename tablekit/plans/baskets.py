@@ -17,10 +17,10 @@ def basket_report(lines: DataFrame, n: int = 20) -> dict[str, DataFrame]:
     combinations = basket.pair_combinations(baskets)
     permutations = basket.pair_permutations(baskets)
     items = basket.item_counts(baskets)
-    # Both pair counts feed several results; they hold one row per item pair.
-    unordered = written(basket.pair_counts(combinations), "pair-counts")
-    ordered = written(basket.pair_counts(permutations), "pair-counts")
-    support = basket.pair_support(unordered)
+    support = basket.pair_support(basket.pair_counts(combinations))
+    unordered = support.drop("support")
+    # One row per item pair, read by all results on rules.
+    ordered = written(basket.ordered_pair_counts(baskets), "pair-counts")
     confidence = basket.pair_confidence(ordered, items)
     return {
         "shape": shape(lines),

@@ -61,6 +61,19 @@ def test_pairs_do_not_depend_on_the_blocks(spark, random_baskets, block_items):
     assert counted(B.pair_permutations(baskets, block_items)) == spelled_permutations(random_baskets)
 
 
+@pytest.mark.parametrize("block_items", [2000, 7])
+def test_ordered_counts(spark, random_baskets, block_items):
+    baskets = table(spark, random_baskets)
+    found = {
+        (r.item1, r.item2): r["count"]
+        for r in B.ordered_pair_counts(baskets, block_items).collect()
+    }
+    expected = Counter()
+    for (_, item1, item2), times in spelled_permutations(random_baskets).items():
+        expected[item1, item2] += times
+    assert found == expected
+
+
 def test_lists_of_a_pair_are_cut_by_id_range(spark):
     baskets = table(spark, {b: ["x", "y"] for b in (1, 2, 11, 25)} | {3: ["x", "y", "y"]})
     lists = B.pair_baskets(B.pair_combinations(baskets), ids_per_row=10).orderBy("basket_slice")
