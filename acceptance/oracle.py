@@ -223,7 +223,9 @@ ORACLE: dict[str, str] = {
     """,
     "write_partitioned": _per_genre(),
     "write_partitioned_rows": "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders",
-    "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20",
+    "preview": """
+        SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 20
+    """,
     "shape": "SELECT COUNT(*) AS num_rows, CAST(6 AS INT) AS num_columns FROM part",
     # columns
     "column_drop_rename": "SELECT p_partkey AS part_id, p_brand, p_type FROM part",

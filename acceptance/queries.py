@@ -118,7 +118,8 @@ def _write_partitioned_rows(spark, folder):
 
 @query("preview")
 def _preview(spark, folder):
-    return preview(read_table(spark, folder, "orders").orderBy("o_orderkey"))
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return preview(orders.orderBy("o_orderkey"))
 
 
 @query("shape")

@@ -1 +1 @@
-"""Table operators: DataFrame in, DataFrame out."""
+"""DataFrame operators: each takes tables and parameters and returns a table."""

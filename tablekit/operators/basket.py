@@ -68,9 +68,10 @@ def _items_by_size(baskets: DataFrame, block_items: int) -> tuple[DataFrame, Dat
 
     Ordinary baskets have at most ``block_items`` rows and are shuffled whole,
     once, by basket. The rows of large ones are counted before they leave their
-    task.
+    task. A missing item pairs with nothing.
     """
-    baskets = baskets.select("basket_id", "item").filter(F.col("basket_id").isNotNull())
+    present = F.col("basket_id").isNotNull() & F.col("item").isNotNull()
+    baskets = baskets.select("basket_id", "item").filter(present)
     sizes = baskets.groupBy("basket_id").agg(F.count("*").alias("n"))
     large: DataFrame | None = None
     if (sizes.agg(F.max("n")).first()[0] or 0) > block_items:

@@ -55,5 +55,12 @@ def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
+@pytest.mark.parametrize(
+    ("name", "pairs"), [("pair_combinations", 117_581), ("pair_permutations", 238_996)]
+)
+def test_times_add_up_to_the_spelled_out_pairs(spark, name, pairs):
+    assert sum(r.times for r in QUERIES[name](spark, FOLDER).select("times").collect()) == pairs
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 20

@@ -97,6 +97,13 @@ def test_ordinary_baskets_are_shuffled_once(spark):
     assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 2
 
 
+def test_both_orders_use_the_same_shuffle(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = executed_plan(QUERIES["pair_counts_ordered"](spark, FOLDER))
+    assert plan.count("ReusedExchange") == 2
+    assert plan.count("REPARTITION_BY_COL") == 3  # the shuffle and both reuses of it
+
+
 def hot_ratings(spark):
     """User 1 holds a third of all ratings."""
     return spark.range(0, 60_000, 1, 16).select(
