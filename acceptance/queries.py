@@ -505,7 +505,8 @@ def _counted_pairs(spark, folder):
 def _pair_baskets(spark, folder):
     lists = B.pair_baskets(B.pair_combinations(D.baskets(spark, folder)))
     entry = F.transform(
-        "baskets", lambda b: F.concat_ws("x", b["basket_id"].cast("string"), b["times"].cast("string"))
+        "baskets",
+        lambda b: F.concat_ws("x", b["basket_id"].cast("string"), b["times"].cast("string")),
     )
     return lists.withColumn("baskets", F.array_join(entry, ","))
 

@@ -20,7 +20,9 @@ from tablekit.sources import write_partitioned
 RATING_SCHEMA = "user_id int, movie_id int, rating float, timestamp long"
 GENRE_SCHEMA = "genre string, genre_id int"
 USER_SCHEMA = "user_id int, age int, gender string, occupation string, zip string"
-ITEM_FIELDS = ("movie_id int", "movie_name string", "release_date string", "video_date string", "url string")
+ITEM_FIELDS = (
+    "movie_id int, movie_name string, release_date string, video_date string, url string"
+)
 
 # Profiles of the new user that recommendations are made for.
 NEW_PROFILES = ((0, 50, 5.0), (0, 172, 5.0), (0, 181, 5.0))
@@ -28,7 +30,7 @@ NEW_PROFILES = ((0, 50, 5.0), (0, 172, 5.0), (0, 181, 5.0))
 
 def item_schema(n_genres: int) -> str:
     """Schema of the movie file, which ends in one flag per genre."""
-    return ", ".join([*ITEM_FIELDS, *[f"flag_{i} string" for i in range(n_genres)]])
+    return ", ".join([ITEM_FIELDS, *[f"flag_{i} string" for i in range(n_genres)]])
 
 
 def with_genres(items: DataFrame, genres: DataFrame) -> DataFrame:

@@ -53,10 +53,32 @@ def test_numeric_summary(spark):
         "v", 4, 2.5, 1.0, 1.0, 2.0, 3.0, 4.0,
     )
     assert row.stddev == pytest.approx(1.2909944)
+    one = quality.numeric_summary(df.limit(1)).first()
+    assert (one.n, one.stddev) == (1, None)
+    none = quality.numeric_summary(df.filter("v IS NULL")).first()
+    assert (none.n, none["mean"], none["min"], none.p50, none["max"]) == (0, None, None, None, None)
+    empty = quality.numeric_summary(df.limit(0)).first()
+    assert (empty.n, empty["mean"], empty.p50) == (0, None, None)
     with pytest.raises(ValueError, match="numeric"):
         quality.numeric_summary(df.select("s"))
 
 
+def test_numeric_summary_pools_slices(spark):
+    """Values far from zero with a small spread, in more tasks than slices."""
+    df = spark.range(0, 20_000, 1, 16).select((F.col("id") % 1000 / 1000 + 1e9).alias("v"))
+    row = quality.numeric_summary(df, slices=5).first()
+    direct = df.agg(F.avg("v"), F.stddev("v"), F.min("v"), F.max("v")).first()
+    assert (row.n, row.min, row.max) == (20_000, direct[2], direct[3])
+    assert row.mean == pytest.approx(direct[0], rel=1e-15)
+    assert row.stddev == pytest.approx(direct[1], rel=1e-6)
+    assert [row.p25 - 1e9, row.p50 - 1e9, row.p75 - 1e9] == pytest.approx([0.249, 0.499, 0.749], abs=1e-6)
+
+
+def test_numeric_summary_beyond_the_sketch_size(spark):
+    row = quality.numeric_summary(spark.range(0, 500_000, 1, 8).selectExpr("cast(id AS int) AS v"), k=4096).first()
+    assert [row.p25, row.p50, row.p75] == pytest.approx([125_000, 250_000, 375_000], abs=5_000)
+
+
 # ------------------------------------------------------------ aggregates
 
 
