@@ -136,14 +136,15 @@ def add_index(
 
     Each task numbers its own rows; the numbered table is written once, and the
     rows before each partition (one number per partition) are added to it. Tied
-    rows keep their input order, which also lets the sort spread a value that
-    most rows share over many tasks.
+    rows are numbered by the partition they come from, so the sort can spread a
+    value that most rows share, or copies of one row, over many tasks.
     """
-    position = F.monotonically_increasing_id()
-    placed = df.withColumn("_id", position)
     if order_by is not None:
-        placed = placed.orderBy(*order_by, "_id").withColumn("_id", position)
-    rows = written(placed, "indexed").withColumn(
+        # The partition a row comes from is the same when its task runs again.
+        placed = df.withColumn("_from", F.spark_partition_id())
+        df = placed.orderBy(*order_by, "_from").drop("_from")
+    numbered = df.withColumn("_id", F.monotonically_increasing_id())
+    rows = written(numbered, "indexed").withColumn(
         "_part", F.shiftrightunsigned(F.col("_id"), _ROW_BITS)
     )
     # One row per partition of the numbered table, so this window is small.

@@ -19,14 +19,17 @@ def write_partitioned(
     """Write one directory per group with ordered rows; fails if ``path`` exists.
 
     All groups are written by one job. By default rows are range-partitioned by
-    group and order, so a group holding most of the data is spread over many
-    files whose names follow the order. ``one_file_per_group`` puts each group
-    into a single file and is meant for groups of bounded size, such as top-n
-    reports.
+    group, order and origin, so a group holding most of the data, tied rows and
+    copies included, is spread over many files whose names follow the order.
+    ``one_file_per_group`` puts each group into a single file and is meant for
+    groups of bounded size, such as top-n reports.
     """
-    placed = (
-        df.repartition(group) if one_file_per_group else df.repartitionByRange(group, *order_by)
-    )
+    if one_file_per_group:
+        placed = df.repartition(group)
+    else:
+        # The partition a row comes from is the same when its task runs again.
+        origin = df.withColumn("_from", F.spark_partition_id())
+        placed = origin.repartitionByRange(group, *order_by, "_from").drop("_from")
     (
         placed.sortWithinPartitions(F.col(group), *order_by)
         .write.partitionBy(group)

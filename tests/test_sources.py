@@ -102,6 +102,14 @@ def test_write_spreads_a_large_group_in_order(spark, tmp_path, keep_partitions):
     assert ids == list(range(9_899, -1, -1))
 
 
+def test_write_spreads_copies_of_one_row(spark, tmp_path, keep_partitions):
+    df = spark.range(0, 8_000, 1, 8).select(F.lit("big").alias("g"), F.lit(1).alias("x"))
+    path = str(tmp_path / "out")
+    S.write_partitioned(df, path, "g", [F.desc("x")])
+    assert len(group_files(path)["g=big"]) > 4
+    assert spark.read.parquet(path).count() == 8_000
+
+
 def test_write_fails_on_an_existing_path(spark, tmp_path):
     df = spark.createDataFrame([("a", 1)], "g string, x int")
     with pytest.raises(Exception, match="exists"):
@@ -114,3 +122,18 @@ def test_written_tables_lie_in_the_shared_folder(spark):
     assert folder == spark.conf.get("spark.checkpoint.dir")
     assert all(folder in f for f in table.inputFiles())
     assert sorted(r.id for r in table.collect()) == [0, 1, 2]
+
+
+class OtherSession:
+    """As much of a session as the folder lookup needs."""
+
+    def __init__(self, **settings):
+        self.conf = {k.replace("__", "."): v for k, v in settings.items()}
+
+
+def test_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(OtherSession(spark__master="yarn"))
+    named = OtherSession(spark__master="yarn", spark__checkpoint__dir="hdfs://x/y/")
+    assert shared_folder(named) == "hdfs://x/y"
+    assert Path(shared_folder(OtherSession(spark__master="local[2]"))).is_dir()
