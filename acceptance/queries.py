@@ -18,6 +18,7 @@ from tablekit.operators import aggregate as A
 from tablekit.operators import basket as B
 from tablekit.operators import cluster, joins, quality, ranking, recommend, sql
 from tablekit.operators import ratings as R
+from tablekit.plans.movies import NEW_PROFILES
 from tablekit.scratch import new_path
 from tablekit.sources import (
     from_rows,
@@ -571,8 +572,7 @@ def _pair_bottom_confidence(spark, folder):
 
 @query("union_rows")
 def _union_rows(spark, folder):
-    rows = [(0, 50, 5.0), (0, 172, 5.0), (0, 181, 5.0)]
-    return R.union_rows(D.ratings(spark, folder), rows)
+    return R.union_rows(D.ratings(spark, folder), NEW_PROFILES)
 
 
 @query("cast_ratings")
@@ -663,8 +663,7 @@ def _top_n_per_occupation_genre_chosen(spark, folder):
 
 
 def _recommender(spark, folder):
-    rows = [(0, 50, 5.0), (0, 172, 5.0), (0, 181, 5.0)]
-    return recommend.als_fit(R.union_rows(D.ratings(spark, folder), rows))
+    return recommend.als_fit(R.union_rows(D.ratings(spark, folder), NEW_PROFILES))
 
 
 @query("als_user_factors")
