@@ -75,13 +75,16 @@ class Recommender:
         )
         return _from_id(factors, "movie_id", self.items)
 
-    def recommend(self, users: DataFrame, n: int = 10) -> DataFrame:
-        """The ``n`` best items for every ``user_id`` in ``users``.
+    def recommend(self, users: DataFrame | None = None, n: int = 10) -> DataFrame:
+        """The ``n`` best items for every ``user_id`` in ``users``, or for all users.
 
         Items the user has already rated are not left out.
         """
-        known = _to_id(users.select("user_id"), "user_id", self.users)
-        lists = self.model.recommendForUserSubset(known, n)
+        if users is None:
+            lists = self.model.recommendForAllUsers(n)
+        else:
+            known = _to_id(users.select("user_id"), "user_id", self.users)
+            lists = self.model.recommendForUserSubset(known, n)
         rows = lists.select("user_id", F.inline("recommendations"))
         rows = _from_id(rows, "user_id", self.users)
         return _from_id(rows, "movie_id", self.items).select("user_id", "movie_id", "rating")

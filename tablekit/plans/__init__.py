@@ -1,5 +1,6 @@
 """Whole analyses built from the operators, one module per subject.
 
-Each returns its results by name as lazy DataFrames: nothing runs until a
-result is used, and each result reads only the columns it needs.
+Each returns its results by name as DataFrames that run when they are used and
+read only the columns they need. Intermediate tables that several results share
+are written while the report is put together.
 """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -47,20 +48,27 @@ def read_csv(
     return _found(path, reader.csv)
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``value`` per text line."""
+    return _found(path, spark.read.text)
+
+
 def read_delimited(
     spark: SparkSession, path: str, schema: StructType | str, sep: str = ","
 ) -> DataFrame:
     """Text without header, split on a literal delimiter; quotes are plain text.
 
-    Short lines are filled with NULL, fields beyond the schema are dropped.
+    An empty field is an empty string. Fields a short line lacks, and values
+    that do not fit their type, are NULL; fields beyond the schema are dropped.
     """
-    reader = spark.read.schema(schema).option("sep", sep).option("quote", "")
-    return _found(path, reader.csv)
-
-
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``value`` per text line."""
-    return _found(path, spark.read.text)
+    fields = F.split("value", re.escape(sep), -1)
+    columns = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return read_lines(spark, path).select(
+        *[
+            F.get(fields, F.lit(i)).try_cast(field.dataType).alias(field.name)
+            for i, field in enumerate(columns)
+        ]
+    )
 
 
 def read_baskets(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:

@@ -112,6 +112,7 @@ def movie_files(tmp_path):
     )
     (tmp_path / "item.dat").write_text(
         "1|Toy|01-May-1995||http://x|0|1|1\n2|Gold|01-Jan-1995||u|0|0|1\n3|Old|02-Jun-1990||u|0|1|0\n"
+        "4|unknown||||1|0|0\n"
     )
     return tmp_path
 
@@ -123,13 +124,13 @@ def test_movie_report(spark, movie_files, tmp_path):
     items = S.read_delimited(spark, str(movie_files / "item.dat"), movies.item_schema(3), "|")
     films = movies.with_genres(items, genres)
     assert {r.movie_id: r.genres for r in films.collect()} == {
-        1: ["Action", "Comedy"], 2: ["Comedy"], 3: ["Action"],
+        1: ["Action", "Comedy"], 2: ["Comedy"], 3: ["Action"], 4: ["unknown"],
     }
     report = movies.movie_report(ratings, films, users)
     assert rows(report["distinct"]) == [(3, 3)]
     assert rows(report["top_reviewers"]) == [(1, 3), (2, 2), (3, 2)]
     assert [r.movie_id for r in report["top_movies"].collect()] == [3, 1, 2]
-    assert rows(report["movies_by_year"]) == [("1995", 2), ("1990", 1)]
+    assert rows(report["movies_by_year"]) == [("1995", 2), ("", 1), ("1990", 1)]
     assert rows(report["year_range"]) == [("1990", "1995")]
     assert {(r.genre, r.movie_id) for r in report["by_genre_top_year"].collect()} == {
         ("Action", 1), ("Comedy", 1), ("Comedy", 2),

@@ -313,6 +313,7 @@ def test_als_keeps_ids_beyond_an_int(spark):
     best = fitted.recommend(spark.createDataFrame([(base,)], "user_id long"), 4).collect()
     assert len(best) == 4
     assert {r.user_id for r in best} == {base}
+    assert fitted.recommend(n=2).count() == 24
     scores = sorted((r.rating for r in best), reverse=True)
     assert scores[0] > scores[-1]
 

@@ -48,9 +48,12 @@ def test_read_csv_null_value(spark, tmp_path):
 
 def test_read_delimited_keeps_quotes_and_fills_short_lines(spark, tmp_path):
     path = tmp_path / "x.dat"
-    path.write_text('1|"a"|x\n2|b\n3|c|y|extra\n')
-    rows = S.read_delimited(spark, str(path), "i int, s string, t string", "|").collect()
-    assert [tuple(r) for r in rows] == [(1, '"a"', "x"), (2, "b", None), (3, "c", "y")]
+    path.write_text('1|"a"|x\n2|b\n3|c\\d||extra\nx|"e|f"\n')
+    df = S.read_delimited(spark, str(path), "i int, s string, t string", "|")
+    assert df.dtypes == [("i", "int"), ("s", "string"), ("t", "string")]
+    assert [tuple(r) for r in df.collect()] == [
+        (1, '"a"', "x"), (2, "b", None), (3, "c\\d", ""), (None, '"e', 'f"'),
+    ]
 
 
 def test_read_baskets(spark, tmp_path):
