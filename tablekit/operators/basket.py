@@ -63,6 +63,17 @@ def _multiplicities(baskets: DataFrame) -> DataFrame:
     return baskets.groupBy("basket_id", "item").agg(F.count("*").alias("m"))
 
 
+def _spread_multiplicities(baskets: DataFrame) -> DataFrame:
+    """The same for rows that may come out of a join by basket.
+
+    Grouping by two columns would keep that join's partitioning and with it a
+    large basket in one task. A single grouping value needs its own shuffle, so
+    the join may be split and repeated items are counted before they move.
+    """
+    entries = baskets.groupBy(F.struct("basket_id", "item").alias("entry"))
+    return entries.agg(F.count("*").alias("m")).select("entry.basket_id", "entry.item", "m")
+
+
 def _items_by_size(baskets: DataFrame, block_items: int) -> tuple[DataFrame, DataFrame | None]:
     """Multiplicities of the ordinary and, if there are any, of the large baskets.
 
@@ -77,7 +88,7 @@ def _items_by_size(baskets: DataFrame, block_items: int) -> tuple[DataFrame, Dat
     if (sizes.agg(F.max("n")).first()[0] or 0) > block_items:
         ids = written(sizes.filter(F.col("n") > block_items).select("basket_id"), "large-ids")
         large = written(
-            _multiplicities(baskets.join(ids, "basket_id", "left_semi")), "large-baskets"
+            _spread_multiplicities(baskets.join(ids, "basket_id", "left_semi")), "large-baskets"
         )
         baskets = baskets.join(ids, "basket_id", "left_anti")
     return _multiplicities(baskets.repartition("basket_id")), large

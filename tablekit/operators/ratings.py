@@ -51,8 +51,14 @@ def group_lists(df: DataFrame, key: str, label: str, name: str) -> DataFrame:
 
 
 def attach_group_list(df: DataFrame, key: str, label: str, name: str) -> DataFrame:
-    """Every row with the list of all labels its key occurs with."""
-    return df.join(group_lists(df, key, label, name), on=[key], how="inner")
+    """Every row with the list of all labels its key occurs with.
+
+    The lists (one row per key) are written, so that Spark knows their size: it
+    broadcasts them when small, and otherwise can split a hot key of ``df``,
+    which it does not do against an aggregate.
+    """
+    lists = written(group_lists(df, key, label, name), "group-lists")
+    return df.join(lists, on=[key], how="inner")
 
 
 def _stats(ratings: DataFrame, keys: Sequence[str]) -> DataFrame:

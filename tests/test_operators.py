@@ -338,6 +338,18 @@ def test_kmeans_on_two_obvious_clusters(spark):
     assert [r.cluster for r in placed.collect()] == [0, 0, 0, 1, 1, 1]
 
 
+def test_kmeans_vectors_agree_with_the_steps(spark):
+    """Library labels on vectors equal those of the fixed steps, up to numbering."""
+    data = [(i, [c + i % 7 / 10, c - i % 5 / 10]) for i in range(90) for c in [(i % 3) * 20.0]]
+    points = spark.createDataFrame(data, "id int, v array<double>")
+    found = {r.id: r.cluster for r in cluster.kmeans_vectors(points, "v", 3).collect()}
+    flat = points.select("id", points.v[0].alias("x"), points.v[1].alias("y"))
+    start = cluster.spread_centers(flat, ["x", "y"], 3)
+    placed = cluster.kmeans_assign(flat, ["x", "y"], cluster.kmeans_fit(flat, ["x", "y"], start, 5))
+    steps = {r.id: r.cluster for r in placed.collect()}
+    assert len({(found[i], steps[i]) for i in steps}) == 3
+
+
 def test_kmeans_ties_empty_clusters_and_missing(spark):
     points = spark.createDataFrame([(0.0, 0.0), (2.0, 2.0), (None, 1.0)], "x double, y double")
     centers = [[0.0, 0.0], [2.0, 2.0], [50.0, 50.0]]

@@ -113,11 +113,9 @@ def hot_ratings(spark):
     )
 
 
-def test_hot_user_is_split(spark, keep_partitions):
-    users = spark.range(0, 600).select(F.col("id").alias("user_id"), F.lit("x").alias("occupation"))
-    movies = spark.range(0, 97).select(F.col("id").alias("movie_id"), F.lit("m").alias("movie_name"))
-    ratings = hot_ratings(spark)
-    expected = ratings.groupBy("movie_id").count().withColumnRenamed("count", "n")
+@contextmanager
+def everything_is_large(spark):
+    """Thresholds at which a small test table counts as skewed and unfit for broadcast."""
     with settings(
         spark,
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -125,11 +123,59 @@ def test_hot_user_is_split(spark, keep_partitions):
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
     ):
+        yield
+
+
+def hot_movies(spark):
+    """Movie 1 holds a third of all rows."""
+    return hot_ratings(spark).select(F.col("user_id").alias("movie_id"), "rating").withColumn(
+        "label", (F.col("rating") % 3).cast("string")
+    )
+
+
+def test_hot_user_is_split(spark, keep_partitions):
+    users = spark.range(0, 600).select(F.col("id").alias("user_id"), F.lit("x").alias("occupation"))
+    movies = spark.range(0, 97).select(F.col("id").alias("movie_id"), F.lit("m").alias("movie_name"))
+    ratings = hot_ratings(spark)
+    expected = ratings.groupBy("movie_id").count().withColumnRenamed("count", "n")
+    with everything_is_large(spark):
         stats = R.review_stats_by(ratings, users, movies, "occupation")
         assert "SortMergeJoin(skew=true)" in executed_plan(stats)
         assert stats.join(expected, "movie_id").filter("n = n_reviews").count() == 97
 
 
+@pytest.mark.parametrize(
+    "attach",
+    [
+        lambda spark, df: ranking.attach_group_total(df, ["movie_id"]),
+        lambda spark, df: R.attach_group_list(df, "movie_id", "label", "labels"),
+        lambda spark, df: joins.join_using(
+            df, spark.range(0, 600).select(F.col("id").alias("movie_id")), ["movie_id"]
+        ),
+    ],
+)
+def test_hot_key_of_a_row_join_is_split(spark, keep_partitions, attach):
+    with everything_is_large(spark):
+        df = attach(spark, hot_movies(spark))
+        assert "SortMergeJoin(skew=true)" in executed_plan(df)
+        assert df.count() == 60_000
+
+
+def test_hot_basket_is_split_before_it_is_counted(spark, keep_partitions):
+    rows = spark.range(0, 60_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 20_000 + 2).alias("basket_id"),
+        (F.col("id") % 211).cast("string").alias("item"),
+    )
+    ids = spark.range(1, 2).select(F.col("id").alias("basket_id"))
+    with everything_is_large(spark):
+        large = rows.join(ids, "basket_id", "left_semi")
+        counted = basket._spread_multiplicities(large)
+        plan = executed_plan(counted)
+        assert "skew=true" in plan
+        assert plan.index("SortMergeJoin") > plan.index("partial_count")
+        assert counted.agg(F.sum("m")).first()[0] == 20_000
+
+
 def test_hot_key_shrinks_before_the_join(spark):
     left = hot_ratings(spark).withColumn("flag", F.lit("f"))
     right = spark.range(0, 600).select(F.col("id").alias("user_id"), (F.col("id") % 3).alias("kind"))
