@@ -3,7 +3,8 @@
 Repeated items count. With m(b, x) the number of times item x is in basket b,
 the unordered pair {x, y} occurs m(b, x) * m(b, y) times in b; the ordered pair
 (x, y) likewise, and (x, x) occurs m(b, x) * (m(b, x) - 1) times. These products
-are never spelled out as rows: pairs carry them in ``times``.
+are never spelled out as rows: pairs carry them in ``times``. Counts are 64-bit;
+a larger one is an error, never a wrong number.
 """
 
 from __future__ import annotations
