@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.llm.chat import conversation_digests, format_chat
+from tablekit.llm.embedding_dedup import link_vectors
 from tablekit.llm.line_dedup import dedup_lines
 from tablekit.llm.mixing import mix
 from tablekit.llm.packing import pack
 from tablekit.llm.quality_rules import judge_quality
 from tablekit.llm.token_output import read_records, record_digests, write_shards
+from tablekit.llm.toxicity import fit_toxicity, score_toxicity
 from tablekit.llm.url_filter import judge_urls, labelled_urls
 from tablekit.scratch import new_path
 from tablekit.sources import read_table
@@ -70,6 +72,15 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, read_table(spark, folder, "labels")))
+
+
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return link_vectors(read_table(spark, folder, "embeddings"))
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages").select("page_id", "url")
     return judge_urls(pages, labelled_urls(spark)).select("row.page_id", "host", "path", "rule", "verdict")
@@ -82,5 +93,7 @@ QUERIES = {
     "op4_token_output": op4_token_output,
     "op5_line_dedup": op5_line_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_toxicity": op8_toxicity,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_url_filter": op10_url_filter,
 }
