@@ -1,9 +1,58 @@
-"""A corpus from raw documents: quality, lines, near duplicates, mix, packing."""
+"""A training corpus from raw documents.
 
-STAGES = []
+Rules drop documents of low quality, repeated lines go, one document of each group
+of near duplicates stays, sources are mixed to their target weights, and the
+tokens are packed into sequences. Each stage is written and read again, so a lost
+executor costs one stage's tasks at most.
+"""
+
+from __future__ import annotations
+
+from tablekit.llm.line_dedup import deduplicated_documents
+from tablekit.llm.mixing import mixed_documents
+from tablekit.llm.ngram_join import distinct_documents
+from tablekit.llm.packing import pack
+from tablekit.llm.quality_rules import good_documents
+from tablekit.scratch import written
+from tablekit.sources import read_table
+
+
+def quality_rules(spark, docs, sf_dir):
+    return good_documents(docs)
+
+
+def line_dedup(spark, docs, sf_dir):
+    return deduplicated_documents(docs)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    return distinct_documents(docs)
+
+
+def mix_sources(spark, docs, sf_dir):
+    return mixed_documents(docs)
+
+
+def best_fit_packing(spark, docs, sf_dir):
+    """Pieces of the mixed documents, with their ids and their place in a sequence."""
+    return pack(docs, keep_ids=True)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: Tokenising and packing have no SQL; the pipeline is tested stage by stage against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """The last stage's rows for the documents in ``sf_dir``."""
-    raise NotImplementedError
+    """The packed pieces of the documents in ``sf_dir``."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

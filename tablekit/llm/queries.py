@@ -9,6 +9,7 @@ from tablekit.llm.chat import conversation_digests, format_chat
 from tablekit.llm.embedding_dedup import link_vectors
 from tablekit.llm.line_dedup import dedup_lines
 from tablekit.llm.mixing import mix
+from tablekit.llm.ngram_join import ngram_components
 from tablekit.llm.packing import pack
 from tablekit.llm.quality_rules import judge_quality
 from tablekit.llm.token_output import read_records, record_digests, write_shards
@@ -58,9 +59,13 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_components(read_table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
-    return judge_quality(docs.select("doc_id", "text", "lang")).select(
+    return judge_quality(docs).select(
         "row.doc_id",
         "n_words",
         "word_chars",
@@ -92,6 +97,7 @@ QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_token_output": op4_token_output,
     "op5_line_dedup": op5_line_dedup,
+    "op6_ngram_join": op6_ngram_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op9_embedding_dedup": op9_embedding_dedup,
