@@ -1,3 +1,46 @@
-"""SQL giving the same rows, for the operators SQL can express."""
+"""SQL giving the same rows, for the operators SQL can express in reasonable time."""
 
-ORACLE = {}
+OP1 = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS k,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+n AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS no FROM s),
+w AS (SELECT *, CASE (no - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, 3 * source_size AS lim FROM n),
+r AS (SELECT *, CAST(lim AS DOUBLE) / w AS ratio FROM w),
+f AS (SELECT *, ratio <=
+        CAST(sum(source_size) OVER () - coalesce(sum(lim) OVER before, 0) AS DOUBLE)
+        / CAST(sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS DOUBLE) AS is_full
+      FROM r WINDOW before AS (ORDER BY ratio, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size,
+        CASE WHEN is_full THEN CAST(lim AS DOUBLE)
+             ELSE CAST(sum(source_size) OVER () - sum(CASE WHEN is_full THEN lim ELSE 0 END) OVER () AS DOUBLE)
+                  / CAST(sum(w) OVER () - sum(CASE WHEN is_full THEN w ELSE 0 END) OVER () AS DOUBLE) * w END AS target
+      FROM f),
+b AS (SELECT *, CAST(floor(target) AS BIGINT) AS budget,
+        coalesce(CAST(floor(target) AS BIGINT) // nullif(source_size, 0), 0) AS epochs FROM t),
+o AS (SELECT d.doc_id, d.size, b.source_size, b.target, b.epochs, b.budget - b.epochs * b.source_size AS rest,
+        coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.size
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
+FROM o
+"""
+
+OP5 = """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+q AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, q.key IS NOT NULL AND k.doc_id <> q.keeper AS gone FROM k LEFT JOIN q USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+ORACLE = {"op1_mix_sources": OP1, "op5_line_dedup": OP5}
