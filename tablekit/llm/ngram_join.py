@@ -45,8 +45,8 @@ PERCENT = 80
 #: Groups of smallest hashes, and hashes in each, by which leaders are found.
 BANDS, BAND_HASHES = 4, 4
 #: Shingles gathered per chunk when counting, and the documents of a chunk that must share one.
-CHUNK_SHINGLES, CHUNK_DOCS = 2_000_000, 4
-MOST_FREQUENT = 1 << 16
+CHUNK_SHINGLES, CHUNK_DOCS = 2_000_000, 2
+MOST_FREQUENT = 1 << 18
 #: Entries of a list walked together.
 BLOCK = 256
 #: Members compared with one copy of their leader.

@@ -24,9 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm.shipping import ship
-from tablekit.llm.tokens import encoder, vocabulary_path
+from tablekit.llm.tokens import check_ranks, encoder
 from tablekit.scratch import written
 
+#: A vocabulary of public_tokenizers, by the name of its files.
+VOCABULARY = "byte_bpe_50k"
 SEQUENCE_LENGTH = 1024
 END_ID = 2
 #: Pieces of one length are numbered in groups of about so many.
@@ -43,14 +45,14 @@ def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarr
 
 def token_pieces(
     docs: DataFrame,
-    path: str | None = None,
+    vocabulary: str = VOCABULARY,
     sequence_length: int = SEQUENCE_LENGTH,
     end_id: int = END_ID,
     keep_ids: bool = False,
 ) -> DataFrame:
     """Pieces of the tokenised documents; a long document's first piece takes the odd length."""
     ship(docs.sparkSession)
-    path = path or vocabulary_path()
+    check_ranks(vocabulary)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long"
     if keep_ids:
@@ -59,7 +61,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = 0
-            for ids, bounds in encoder(path).encode(batch.column("text").to_pylist()):
+            for ids, bounds in encoder(vocabulary).encode(batch.column("text")):
                 ids, bounds = with_end(ids, bounds, end_id)
                 sizes = np.diff(bounds)
                 pieces = -(-sizes // sequence_length)
@@ -156,7 +158,7 @@ def best_fit_runs(counts: dict[int, int], sequence_length: int) -> list[tuple[in
 
 def pack(
     docs: DataFrame,
-    path: str | None = None,
+    vocabulary: str = VOCABULARY,
     sequence_length: int = SEQUENCE_LENGTH,
     end_id: int = END_ID,
     keep_ids: bool = False,
@@ -166,7 +168,7 @@ def pack(
     With ``keep_ids`` the piece's ids come along, 4 bytes each, little-endian.
     """
     spark = docs.sparkSession
-    pieces = written(token_pieces(docs, path, sequence_length, end_id, keep_ids), "pack-pieces")
+    pieces = written(token_pieces(docs, vocabulary, sequence_length, end_id, keep_ids), "pack-pieces")
     counts = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}  # sequence_length rows at most
     groups = spark.createDataFrame(
         [(n, -(-c // GROUP_PIECES)) for n, c in counts.items()], "length long, groups long"

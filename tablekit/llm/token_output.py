@@ -31,9 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm.packing import END_ID, SEQUENCE_LENGTH, with_end
+from tablekit.llm.packing import END_ID, SEQUENCE_LENGTH, VOCABULARY, with_end
 from tablekit.llm.shipping import ship
-from tablekit.llm.tokens import encoder, vocabulary_path
+from tablekit.llm.tokens import check_ranks, encoder
 
 SHARD_RECORDS = 8_192
 ROUNDS = 6
@@ -81,7 +81,7 @@ class SlotOrder:
 def write_shards(
     docs: DataFrame,
     path: str,
-    vocabulary: str | None = None,
+    vocabulary: str = VOCABULARY,
     sequence_length: int = SEQUENCE_LENGTH,
     end_id: int = END_ID,
     shard_records: int = SHARD_RECORDS,
@@ -94,7 +94,7 @@ def write_shards(
     tasks.
     """
     ship(docs.sparkSession)
-    vocabulary = vocabulary or vocabulary_path()
+    check_ranks(vocabulary)
     kind = f"<u{id_bytes}"
     scan = docs.select("text")
 
@@ -102,7 +102,7 @@ def write_shards(
         rows = tokens = 0
         for batch in batches:
             rows += batch.num_rows
-            for _, bounds in encoder(vocabulary).encode(batch.column("text").to_pylist()):
+            for _, bounds in encoder(vocabulary).encode(batch.column("text")):
                 tokens += int(bounds[-1]) + len(bounds) - 1
         task = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_pydict({"task": [task], "n_rows": [rows], "tokens": [tokens]})
@@ -123,7 +123,7 @@ def write_shards(
         begin, rows, tokens = begins.get(TaskContext.get().partitionId(), (0, 0, 0))
         at, seen = begin, 0
         for batch in batches:
-            for ids, bounds in encoder(vocabulary).encode(batch.column("text").to_pylist()):
+            for ids, bounds in encoder(vocabulary).encode(batch.column("text")):
                 ids, _ = with_end(ids, bounds, end_id)
                 edges = np.arange(-(-at // sequence_length) * sequence_length - at, len(ids), sequence_length)
                 starts = np.unique(np.append(edges, 0))
