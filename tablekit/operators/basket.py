@@ -186,9 +186,10 @@ def pair_baskets(pairs: DataFrame, ids_per_row: int = 100_000) -> DataFrame:
     ids_per_row)``, so a pair found everywhere fills many rows, not one giant
     list. ``baskets`` holds ``(basket_id, times)`` in id order. Ids are integers.
     """
-    sliced = pairs.withColumn(
-        "basket_slice", F.floor(F.col("basket_id") / F.lit(ids_per_row)).cast("long")
-    )
+    # Whole-number division: a quotient as double is wrong for ids above 2 ** 53.
+    size = int(ids_per_row)
+    below = F.expr(f"int(basket_id < 0 and basket_id % {size} <> 0)")
+    sliced = pairs.withColumn("basket_slice", F.expr(f"basket_id div {size}") - below)
     return sliced.groupBy("item1", "item2", "basket_slice").agg(
         F.array_sort(F.collect_list(F.struct("basket_id", "times"))).alias("baskets")
     )

@@ -154,6 +154,6 @@ def add_index(
         "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
     row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    # The broadcast holds one row per task that wrote the table.
-    indexed = rows.join(F.broadcast(offsets), on="_part")
+    # One row per task that wrote the table; Spark chooses the join by its size.
+    indexed = rows.join(offsets, on="_part")
     return indexed.withColumn(name, F.col("_before") + row).drop("_part", "_id", "_before")

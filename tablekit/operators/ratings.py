@@ -55,10 +55,12 @@ def attach_group_list(df: DataFrame, key: str, label: str, name: str) -> DataFra
 
     The lists (one row per key) are written, so that Spark knows their size: it
     broadcasts them when small, and otherwise can split a hot key of ``df``,
-    which it does not do against an aggregate.
+    which it does not do against an aggregate. Rows whose key is NULL have a list
+    of their own.
     """
     lists = written(group_lists(df, key, label, name), "group-lists")
-    return df.join(lists, on=[key], how="inner")
+    lists = lists.withColumnRenamed(key, "_list_key")
+    return df.join(lists, df[key].eqNullSafe(lists["_list_key"]), "inner").drop("_list_key")
 
 
 def _stats(ratings: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -119,8 +121,16 @@ def _by_genre(stats: DataFrame) -> DataFrame:
     return stats.select(genre, *[c for c in stats.columns if c != "genres"])
 
 
+def _ratings_of(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+    return ratings.join(movies.select("movie_id"), on="movie_id", how="left_semi")
+
+
 def top_n_per_genre(ratings: DataFrame, movies: DataFrame, n: int = 3) -> DataFrame:
-    """For every genre the ``n`` movies with most reviews."""
+    """For every genre the ``n`` movies with most reviews.
+
+    Ratings of other movies than those given are left out before they are counted.
+    """
+    ratings = _ratings_of(ratings, movies)
     ranked = _by_genre(review_stats(ratings, movies.select("movie_id", "movie_name", "genres")))
     best = top_n_per_group(ranked, ["genre"], [F.desc("n_reviews"), F.asc("movie_id")], n)
     return best.select("genre", "movie_id", "movie_name", "n_reviews", "avg_rating")
@@ -142,6 +152,9 @@ def top_n_per_occupation_genre(
     if occupations is not None:
         users = users.filter(F.col("occupation").isin(list(occupations)))
     movies = movies.select("movie_id", "movie_name", "genres")
+    if genres is not None:
+        movies = movies.filter(F.arrays_overlap("genres", F.array(*[F.lit(g) for g in genres])))
+        ratings = _ratings_of(ratings, movies)
     ranked = _by_genre(review_stats_by(ratings, users, movies, "occupation"))
     if genres is not None:
         ranked = ranked.filter(F.col("genre").isin(list(genres)))

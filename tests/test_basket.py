@@ -115,3 +115,10 @@ def test_largest_basket(spark):
 
 def test_no_baskets(spark):
     assert B.pair_combinations(table(spark, {1: ["a"]}).limit(0)).count() == 0
+
+
+def test_pair_baskets_slices_large_and_negative_ids(spark):
+    ids = [1152921504606999999, -1, -100_000, 99_999]
+    pairs = spark.createDataFrame([(i, "a", "b", 1) for i in ids], "basket_id long, item1 string, item2 string, times long")
+    got = {b.basket_id: r.basket_slice for r in B.pair_baskets(pairs).collect() for b in r.baskets}
+    assert got == {i: i // 100_000 for i in ids}

@@ -359,3 +359,21 @@ def test_kmeans_ties_empty_clusters_and_missing(spark):
     assert cluster.spread_centers(points, ["x"], 3) == [[0.0], [1.0], [2.0]]
     with pytest.raises(ValueError, match="two"):
         cluster.spread_centers(points, ["x"], 1)
+
+
+def test_attach_group_list_keeps_null_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "k int, l string")
+    assert sorted(rows(R.attach_group_list(df, "k", "l", "ls")), key=str) == [
+        (1, "a", ["a"]), (None, "b", ["b", "c"]), (None, "c", ["b", "c"])
+    ]
+
+
+def test_genre_filter_lies_below_the_aggregate(spark, capsys):
+    ratings = spark.createDataFrame([(1, 1, 5.0), (2, 2, 3.0)], "user_id int, movie_id int, rating double")
+    users = spark.createDataFrame([(1, 30, "x"), (2, 20, "x")], "user_id int, age int, occupation string")
+    movies = spark.createDataFrame([(1, "m", ["red"]), (2, "n", ["blue"])], "movie_id int, movie_name string, genres array<string>")
+    report = R.top_n_per_occupation_genre(ratings, users, movies, genres=["red"])
+    assert [r.movie_id for r in report.collect()] == [1]
+    report.explain()
+    plan = capsys.readouterr().out
+    assert plan.rindex("LeftSemi") > plan.rindex("partial_count")
