@@ -175,7 +175,7 @@ def _summary(column: str) -> str:
 SELECT '{column}' AS "column", CAST(COUNT({column}) AS BIGINT) AS n,
        ROUND(AVG({column}), 4) AS mean, ROUND(STDDEV_SAMP({column}), 4) AS stddev,
        CAST(MIN({column}) AS DOUBLE) AS min, {marks}, CAST(MAX({column}) AS DOUBLE) AS max
-FROM part
+FROM lineitem
 """
 
 
@@ -258,7 +258,7 @@ ORACLE: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
         WHERE l_returnflag = 'R' AND l_linestatus = 'F'
     """,
-    "non_empty": f"{RATINGS} SELECT movie_id FROM mv WHERE right(release_date, 4) <> ''",
+    "non_empty": f"{RATINGS} SELECT movie_id FROM mv WHERE movie_id % 3 <> 0",
     "top_year_rows": RATINGS + _TOP_YEAR,
     "month_in_filter": RATINGS + _SUMMER,
     "member_filter": """
@@ -266,7 +266,7 @@ ORACLE: dict[str, str] = {
         WHERE split_part(p_name, ' ', 1) = 'red' OR split_part(p_name, ' ', 2) = 'red'
     """,
     "suffix_arity_filter": """
-        SELECT p_partkey FROM part WHERE array_length(string_split(p_name, ' ')) = 2
+        SELECT doc_id FROM documents WHERE array_length(string_split(text, '.')) = 5
     """,
     # joins
     "join_using": """
@@ -333,7 +333,9 @@ ORACLE: dict[str, str] = {
         SELECT l_returnflag, l_linestatus, ROUND(SUM(l_quantity) / 60, 4) AS total_l_quantity
         FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' GROUP BY 1, 2
     """,
-    "numeric_summary": _summary("p_size") + "UNION ALL" + _summary("p_retailprice"),
+    "numeric_summary": " UNION ALL ".join(
+        _summary(c) for c in ("l_quantity", "l_extendedprice", "l_discount")
+    ),
     "distinct_by": f"""{RATINGS}
         SELECT COUNT(DISTINCT user_id) AS n_users, COUNT(DISTINCT movie_id) AS n_movies FROM rt
     """,
@@ -353,6 +355,10 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS idx
         FROM orders
     """,
+    "add_index_input_order": """
+        SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS idx
+        FROM orders
+    """,
     "top_n_by": _n_parts("DESC"),
     "bottom_n_by": _n_parts("ASC"),
     "top_n_by_sql": _n_parts("DESC"),
@@ -383,7 +389,7 @@ ORACLE: dict[str, str] = {
     """,
     "pair_baskets": f"""{COMBINATIONS}
         , t AS (SELECT basket_id, item1, item2, COUNT(*) AS times FROM c GROUP BY 1, 2, 3)
-        SELECT item1, item2, CAST(floor(basket_id / 100000) AS BIGINT) AS basket_slice,
+        SELECT item1, item2, CAST(floor(basket_id / 1000) AS BIGINT) AS basket_slice,
                string_agg(concat(basket_id, 'x', times), ',' ORDER BY basket_id) AS baskets
         FROM t GROUP BY 1, 2, 3
     """,

@@ -213,7 +213,8 @@ def _eq_filter(spark, folder):
 
 @query("non_empty")
 def _non_empty(spark, folder):
-    movies = D.movies(spark, folder)
+    dated = F.when(F.col("movie_id") % 3 != 0, F.col("release_date")).otherwise("")
+    movies = D.movies(spark, folder).withColumn("release_date", dated)
     return movies.filter(X.year_of(F.col("release_date")) != "").select("movie_id")
 
 
@@ -235,8 +236,8 @@ def _member_filter(spark, folder):
 
 @query("suffix_arity_filter")
 def _suffix_arity_filter(spark, folder):
-    part = read_table(spark, folder, "part")
-    return part.filter(X.field_count(F.col("p_name"), " ") == 2).select("p_partkey")
+    documents = read_table(spark, folder, "documents")
+    return documents.filter(X.field_count(F.col("text"), ".") == 5).select("doc_id")
 
 
 # ------------------------------------------------------------------ joins
@@ -367,7 +368,8 @@ def _filtered_sum_scaled(spark, folder):
 
 @query("numeric_summary")
 def _numeric_summary(spark, folder):
-    return _rounded(quality.numeric_summary(read_table(spark, folder, "part")), 4, "mean", "stddev")
+    lines = read_table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice", "l_discount")
+    return _rounded(quality.numeric_summary(lines), 4, "mean", "stddev")
 
 
 @query("distinct_by")
@@ -405,6 +407,19 @@ def _add_index(spark, folder):
     return ranking.add_index(orders, [F.col("o_orderkey")])
 
 
+@query("add_index_input_order")
+def _add_index_input_order(spark, folder):
+    """Lines of text files of very different sizes, whose order is that of the keys."""
+    orders = read_table(spark, folder, "orders").select("o_orderkey")
+    size = F.lpad(F.floor(F.log2(F.col("o_orderkey") + 2)).cast("string"), 2, "0").alias("size")
+    lines = orders.select("o_orderkey", F.col("o_orderkey").cast("string").alias("value"), size)
+    lines = lines.repartitionByRange(16, "o_orderkey").sortWithinPartitions("size", "o_orderkey")
+    path = new_path(spark, "lines")
+    lines.drop("o_orderkey").write.partitionBy("size").text(path)
+    indexed = ranking.add_index(spark.read.text(path).select("value"))
+    return indexed.select(F.col("value").cast("long").alias("o_orderkey"), "idx")
+
+
 @query("top_n_by")
 def _top_n_by(spark, folder):
     return ranking.top_n_by(read_table(spark, folder, "lineitem"), ["l_partkey"], 10)
@@ -504,7 +519,7 @@ def _counted_pairs(spark, folder):
 
 @query("pair_baskets")
 def _pair_baskets(spark, folder):
-    lists = B.pair_baskets(B.pair_combinations(D.baskets(spark, folder)))
+    lists = B.pair_baskets(B.pair_combinations(D.baskets(spark, folder)), ids_per_row=1000)
     entry = F.transform(
         "baskets",
         lambda b: F.concat_ws("x", b["basket_id"].cast("string"), b["times"].cast("string")),

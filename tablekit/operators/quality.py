@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablekit.scratch import written
+
 # Type-name prefixes that count as numeric. Long, short and byte
 # columns ("bigint", "smallint", "tinyint") are left out.
 NUMERIC_PREFIXES = ("int", "double", "float", "decimal")
@@ -61,77 +63,84 @@ def select_numeric(df: DataFrame, prefixes: Sequence[str] = NUMERIC_PREFIXES) ->
 def numeric_summary(
     df: DataFrame,
     prefixes: Sequence[str] = NUMERIC_PREFIXES,
-    k: int = 65535,
-    slices: int = 1000,
+    rank_error: float | None = None,
 ) -> DataFrame:
     """One row per numeric column: n, mean, stddev, min, p25, p50, p75, max.
 
-    One pass over the table. Percentiles come from KLL sketches of size ``k``:
-    exact up to ``k`` rows, beyond that off by about 0.01 % of the rows for the
-    default; NaN counts as infinity there. A sketch is large and every task
-    makes one, so they are merged per slice of tasks before the slices meet in
-    one task.
+    Percentile q is the value at rank ``ceil(q * n)``, exact and the same in every
+    run for a table of any length; NaN is the largest value. With ``rank_error``
+    (such as 0.001) percentiles may be off by that share of the rows; they then
+    need no shuffle of the values.
     """
     names = numeric_columns(df, prefixes)
     if not names:
         raise ValueError("the table has no numeric column")
     values = df.select(
-        *[df[quoted(name)].cast("double").alias(f"v{i}") for i, name in enumerate(names)],
-        (F.spark_partition_id() % F.lit(slices)).alias("slice"),
-    )
-    parts = values.groupBy("slice").agg(
-        *[_part(f"v{i}", k).alias(f"v{i}") for i in range(len(names))]
+        *[df[quoted(name)].cast("double").alias(f"v{i}") for i, name in enumerate(names)]
     )
-    rows = parts.agg(
-        F.array(*[_profile(name, f"v{i}") for i, name in enumerate(names)]).alias("rows")
-    )
-    return rows.select(F.inline("rows"))
-
-
-def _part(column: str, k: int) -> Column:
-    """What a slice knows about a column."""
-    value = F.col(column)
-    return F.struct(
-        F.count(value).cast("double").alias("n"),
+    profiles = [_profile(name, i, rank_error) for i, name in enumerate(names)]
+    rows = values.agg(*[p.alias(f"p{i}") for i, p in enumerate(profiles)])
+    rows = rows.select(F.inline(F.array(*[f"p{i}" for i in range(len(names))])))
+    if rank_error is None:
+        rows = rows.join(_exact_percentiles(values, len(names)), on="place", how="left")
+    return rows.select("column", "n", "mean", "stddev", "min", *_PERCENTILES, "max")
+
+
+def _profile(name: str, place: int, rank_error: float | None) -> Column:
+    """Moments and bounds of a column, with its approximate percentiles if asked for."""
+    value = F.col(f"v{place}")
+    fields = [
+        F.lit(place).alias("place"),
+        F.lit(name).alias("column"),
+        F.count(value).alias("n"),
         F.avg(value).alias("mean"),
-        (F.var_pop(value) * F.count(value)).alias("m2"),
+        F.stddev_samp(value).alias("stddev"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        F.kll_sketch_agg_double(F.nanvl(value, F.lit(float("inf"))), k).alias("sketch"),
-    )
+    ]
+    if rank_error is not None:
+        accuracy = F.lit(round(1 / rank_error))
+        fields += [F.percentile_approx(value, q, accuracy).alias(p) for p, q in _PERCENTILES.items()]
+    return F.struct(*fields)
 
 
-def _pooled(a: Column, b: Column) -> Column:
-    """Count, mean and squared deviations of two slices together."""
-    n, gap = a["n"] + b["n"], b["mean"] - a["mean"]
-    return F.struct(
-        n.alias("n"),
-        (a["mean"] + gap * b["n"] / n).alias("mean"),
-        (a["m2"] + b["m2"] + gap * gap * a["n"] * b["n"] / n).alias("m2"),
-    )
-
+def _exact_percentiles(values: DataFrame, columns: int) -> DataFrame:
+    """``(place, p25, p50, p75)`` of the columns that hold a value.
 
-def _profile(name: str, column: str) -> Column:
-    """The summary row of a column from its slices."""
-    part = F.col(column)
-    # One entry per slice.
-    fields = ("n", "mean", "m2")
-    moments = F.collect_list(
-        F.when(part["n"] > 0, F.struct(*[part[field].alias(field) for field in fields]))
+    Every different value of a column is one row with its count, in value ranges
+    written once. Rows before a range come from the totals per range; only the
+    ranges that hold a percentile are sorted and counted through.
+    """
+    entries = values.select(
+        F.posexplode(F.array(*[f"v{i}" for i in range(columns)])).alias("place", "value")
+    ).filter(F.col("value").isNotNull())
+    counted = entries.groupBy("place", "value").agg(F.count("*").alias("times"))
+    ranges = counted.repartitionByRange("place", "value")
+    counted = written(ranges.withColumn("range", F.spark_partition_id()), "value-counts")
+
+    # One row per column and range.
+    totals = counted.groupBy("place", "range").agg(F.sum("times").alias("held"))
+    in_order = Window.partitionBy("place").orderBy("range")
+    totals = totals.select(
+        "place",
+        "range",
+        "held",
+        (F.sum("held").over(in_order) - F.col("held")).alias("before"),
+        F.sum("held").over(Window.partitionBy("place")).alias("n"),
     )
-    start = F.struct(*[F.lit(0.0).alias(field) for field in fields])
-    whole = F.aggregate(moments, start, _pooled)
-    sketch = F.kll_merge_agg_double(part["sketch"])
-    some, many = whole["n"] > 0, whole["n"] > 1
-    return F.struct(
-        F.lit(name).alias("column"),
-        whole["n"].cast("bigint").alias("n"),
-        F.when(some, whole["mean"]).alias("mean"),
-        F.when(many, F.sqrt(whole["m2"] / (whole["n"] - 1))).alias("stddev"),
-        F.min(part["min"]).alias("min"),
-        *[
-            F.when(some, F.kll_sketch_get_quantile_double(sketch, F.lit(q))).alias(label)
-            for label, q in _PERCENTILES.items()
-        ],
-        F.max(part["max"]).alias("max"),
+    asked = F.explode(
+        F.array(*[F.struct(F.lit(p).alias("name"), F.lit(q).alias("q")) for p, q in _PERCENTILES.items()])
+    )
+    wanted = totals.withColumn("asked", asked).select(
+        "place", "range", "held", "before", "asked.name", F.ceil(F.col("asked.q") * F.col("n")).alias("rank")
+    )
+    rank = F.col("rank")
+    wanted = wanted.filter((F.col("before") < rank) & (rank <= F.col("before") + F.col("held")))
+
+    through = Window.partitionBy("place", "name").orderBy("value")
+    reached = F.col("before") + F.sum("times").over(through)
+    found = counted.join(wanted.drop("held"), on=["place", "range"])
+    found = found.withColumn("reached", reached).filter(F.col("reached") >= rank)
+    return found.groupBy("place").agg(
+        *[F.min(F.when(F.col("name") == p, F.col("value"))).alias(p) for p in _PERCENTILES]
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,13 +13,12 @@ from tablekit.operators.aggregate import grouped_counts, where_equal
 from tablekit.operators.quality import quoted
 from tablekit.scratch import written
 
-# Up to this n Spark itself keeps the best n rows of every group in each task
-# before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-_GROUP_LIMIT = 1000
-
 # monotonically_increasing_id: partition number above these bits, row below.
 _ROW_BITS = 33
 
+# File and first byte of the piece of it that one task reads.
+_PIECE = ("_path", "_start")
+
 
 def _keys(names: Sequence[str]) -> list[Column]:
     return [F.col(quoted(n)) for n in names]
@@ -65,20 +65,20 @@ def top_n_per_group(
     groups: Sequence[str],
     order_by: Sequence[Column],
     n: int,
-    slices: int = 1000,
+    slices: int = 512,
 ) -> DataFrame:
     """The first ``n`` rows of every group in the given (total) order.
 
-    Only the best ``n`` rows per group leave a task, so one huge group does not
-    end up whole in one task. For an ``n`` above Spark's own limit the rows are
-    first ranked in slices of their group, one per set of input partitions, then
-    across the slices.
+    Rows are ranked in slices of their group first, one per set of input
+    partitions, then across the slices: however many partitions there are, the last
+    step sees at most ``n * slices`` rows of a group. Up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` rows Spark also keeps only the
+    best ``n`` rows per group in each task before they are shuffled.
     """
-    if n > _GROUP_LIMIT:
-        # The partition a row comes from is the same when its task runs again.
-        sliced = df.withColumn("_slice", F.spark_partition_id() % F.lit(slices))
-        df = _first_n(sliced, [*groups, "_slice"], order_by, n).drop("_slice")
-    return _first_n(df, groups, order_by, n)
+    # The partition a row comes from is the same when its task runs again.
+    sliced = df.withColumn("_slice", F.spark_partition_id() % F.lit(slices))
+    best = _first_n(sliced, [*groups, "_slice"], order_by, n).drop("_slice")
+    return _first_n(best, groups, order_by, n)
 
 
 def _first_n(
@@ -134,8 +134,12 @@ def add_index(
 ) -> DataFrame:
     """Contiguous 0-based index, in the given order or else in input order.
 
+    Input order is that of files by path and of rows within a file, for a table read
+    from files and not shuffled since. Other tables without ``order_by`` get a unique
+    and contiguous index in no promised order.
+
     Each task numbers its own rows; the numbered table is written once, and the
-    rows before each partition (one number per partition) are added to it. Tied
+    rows before each piece (a part of a file, or a partition) are added to it. Tied
     rows are numbered by the partition they come from, so the sort can spread a
     value that most rows share, or copies of one row, over many tasks.
     """
@@ -143,17 +147,37 @@ def add_index(
         # The partition a row comes from is the same when its task runs again.
         placed = df.withColumn("_from", F.spark_partition_id())
         df = placed.orderBy(*order_by, "_from").drop("_from")
-    numbered = df.withColumn("_id", F.monotonically_increasing_id())
+        pieces = None
+    else:
+        pieces = _with_file_piece(df)
+    numbered = (df if pieces is None else pieces).withColumn("_id", F.monotonically_increasing_id())
     rows = written(numbered, "indexed").withColumn(
         "_part", F.shiftrightunsigned(F.col("_id"), _ROW_BITS)
     )
-    # One row per partition of the numbered table, so this window is small.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy("_part").agg(F.count("*").alias("_rows"))
+    keys = ["_part"]
+    if pieces is not None:
+        # A piece whose rows do not follow each other was shuffled after it was read.
+        gaps = F.max("_id") - F.min("_id") + 1 != F.count("*")
+        if rows.groupBy(*_PIECE).agg(gaps.alias("gaps")).filter("gaps").isEmpty():
+            keys = list(_PIECE)
+        else:
+            rows = rows.drop(*_PIECE)
+    # One row per piece of the numbered table, so this window is small.
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*keys).agg(F.count("*").alias("_rows"), F.min("_id").alias("_first"))
     offsets = offsets.select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+        *keys, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
-    row = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    # One row per task that wrote the table; Spark chooses the join by its size.
-    indexed = rows.join(offsets, on="_part")
-    return indexed.withColumn(name, F.col("_before") + row).drop("_part", "_id", "_before")
+    # Spark chooses the join by the size of the offsets.
+    indexed = rows.join(offsets, on=keys)
+    place = F.col("_before") + F.col("_id") - F.col("_first")
+    return indexed.select(*[F.col(quoted(c)) for c in df.columns], place.alias(name))
+
+
+def _with_file_piece(df: DataFrame) -> DataFrame | None:
+    """The rows with the file they come from and the place of their piece in it."""
+    names = ("file_path", "file_block_start")
+    try:
+        return df.select("*", *[F.col(f"_metadata.{n}").alias(p) for n, p in zip(names, _PIECE, strict=True)])
+    except AnalysisException:
+        return None  # not read from files, or from several tables

@@ -63,10 +63,10 @@ def test_numeric_summary(spark):
         quality.numeric_summary(df.select("s"))
 
 
-def test_numeric_summary_pools_slices(spark):
-    """Values far from zero with a small spread, in more tasks than slices."""
+def test_numeric_summary_far_from_zero(spark):
+    """Values far from zero with a small spread, in many tasks."""
     df = spark.range(0, 20_000, 1, 16).select((F.col("id") % 1000 / 1000 + 1e9).alias("v"))
-    row = quality.numeric_summary(df, slices=5).first()
+    row = quality.numeric_summary(df).first()
     direct = df.agg(F.avg("v"), F.stddev("v"), F.min("v"), F.max("v")).first()
     assert (row.n, row.min, row.max) == (20_000, direct[2], direct[3])
     assert row.mean == pytest.approx(direct[0], rel=1e-15)
@@ -74,11 +74,24 @@ def test_numeric_summary_pools_slices(spark):
     assert [row.p25 - 1e9, row.p50 - 1e9, row.p75 - 1e9] == pytest.approx([0.249, 0.499, 0.749], abs=1e-6)
 
 
-def test_numeric_summary_beyond_the_sketch_size(spark):
-    row = quality.numeric_summary(spark.range(0, 500_000, 1, 8).selectExpr("cast(id AS int) AS v"), k=4096).first()
+def test_numeric_summary_is_exact_for_long_tables(spark):
+    df = spark.range(0, 500_000, 1, 8).selectExpr("cast(id * 7919 % 500000 AS int) AS v", "double(7) AS same")
+    for _ in range(2):
+        row, same = quality.numeric_summary(df).orderBy(F.desc("column")).collect()
+        assert [row.p25, row.p50, row.p75] == [124_999.0, 249_999.0, 374_999.0]
+        assert [same.p25, same.p50, same.p75, same.stddev] == [7.0, 7.0, 7.0, 0.0]
+    row = quality.numeric_summary(df.select("v"), rank_error=0.01).first()
     assert [row.p25, row.p50, row.p75] == pytest.approx([125_000, 250_000, 375_000], abs=5_000)
 
 
+def test_numeric_summary_of_infinite_values_and_nan(spark):
+    df = spark.range(0, 8, 1, 4).select(F.when(F.col("id") > 3, float("inf")).otherwise(F.col("id")).alias("v"))
+    row = quality.numeric_summary(df).first()
+    assert (row["mean"], row.p50, row.p75, row["max"]) == (float("inf"), 3.0, float("inf"), float("inf"))
+    nan = quality.numeric_summary(spark.createDataFrame([(1.0,), (2.0,), (float("nan"),)], "v double")).first()
+    assert nan.p25 == 1.0 and nan.p50 == 2.0 and math.isnan(nan.p75) and math.isnan(nan["max"])
+
+
 # ------------------------------------------------------------ aggregates
 
 
@@ -197,6 +210,27 @@ def test_add_index_in_input_order(spark, tmp_path):
     assert sorted((r.idx, int(r.value)) for r in indexed.collect()) == [(i, i) for i in range(1000)]
 
 
+@pytest.mark.parametrize("split", ["2k", "10k", "128m"])
+def test_add_index_of_files_of_different_sizes(spark, tmp_path, split):
+    """Spark reads large pieces first; the index still follows path and line."""
+    lines = iter(range(5055))
+    for name, size in (("a", 5), ("b", 5000), ("c", 50)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{next(lines)}\n" for _ in range(size)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = ranking.add_index(spark.read.text(str(tmp_path))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r.idx, int(r.value)) for r in found) == [(i, i) for i in range(5055)]
+
+
+def test_add_index_after_a_shuffle_is_contiguous(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("".join(f"{i}\n" for i in range(500)))
+    found = ranking.add_index(spark.read.text(str(tmp_path)).repartition(5)).collect()
+    assert sorted(r.idx for r in found) == list(range(500))
+    assert sorted(int(r.value) for r in found) == list(range(500))
+
+
 def test_add_index_spreads_a_tied_value(spark, keep_partitions):
     df = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"), "id")
     indexed = ranking.add_index(df, [F.col("k")])
