@@ -359,6 +359,16 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS idx
         FROM orders
     """,
+    "als_user_factors": f"""{RATINGS}
+        SELECT CAST(user_id AS BIGINT) AS user_id, CAST(20 AS INT) AS n_factors
+        FROM (SELECT user_id FROM rt UNION SELECT -1)
+    """,
+    "als_recommend": f"""{RATINGS}
+        SELECT CAST(-1 AS BIGINT) AS user_id, n AS n_items, n AS n_distinct, n AS n_known,
+               TRUE AS scores_match, TRUE AS none_better
+        FROM (SELECT CAST(least(10, COUNT(DISTINCT movie_id)) AS BIGINT) AS n FROM rt)
+    """,
+    "kmeans_vectors": "SELECT vec_id, TRUE AS nearest FROM embeddings",
     "top_n_by": _n_parts("DESC"),
     "bottom_n_by": _n_parts("ASC"),
     "top_n_by_sql": _n_parts("DESC"),

@@ -677,19 +677,41 @@ def _top_n_per_occupation_genre_chosen(spark, folder):
 # --------------------------------------------------------------- learning
 
 
+# An id no customer has, so the profile is that of a new user.
+NEW_USER = -1
+
+
 def _recommender(spark, folder):
-    return recommend.als_fit(R.union_rows(D.ratings(spark, folder), NEW_PROFILES))
+    profile = [(NEW_USER, movie, rating) for _, movie, rating in NEW_PROFILES]
+    return recommend.als_fit(R.union_rows(D.ratings(spark, folder), profile))
 
 
 @query("als_user_factors")
 def _als_user_factors(spark, folder):
-    return _recommender(spark, folder).user_factors()
+    factors = _recommender(spark, folder).user_factors()
+    return factors.select(F.col("user_id").cast("long").alias("user_id"), F.size("factors").alias("n_factors"))
 
 
 @query("als_recommend")
 def _als_recommend(spark, folder):
-    user = from_rows(spark, [(0,)], "user_id long")
-    return _recommender(spark, folder).recommend(user, 10)
+    """What holds for the list of the new user however the model was partitioned."""
+    fitted, n = _recommender(spark, folder), 10
+    listed = fitted.recommend(from_rows(spark, [(NEW_USER,)], "user_id long"), n)
+    own = fitted.user_factors().filter(F.col("user_id") == NEW_USER).select("factors").scalar()
+    products = F.zip_with("factors", "own", lambda x, y: x.cast("double") * y)
+    score = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    scores = fitted.item_factors().withColumn("own", own).select("movie_id", score.alias("score"))
+    rated = D.ratings(spark, folder).select("movie_id").distinct().withColumn("known", F.lit(1))
+    least = listed.agg(F.min("rating").cast("double")).scalar()
+    better = scores.filter(F.col("score") > least + 1e-3).agg(F.count("*")).scalar()
+    found = listed.join(scores, on="movie_id", how="left").join(rated, on="movie_id", how="left")
+    return found.groupBy(F.col("user_id").cast("long").alias("user_id")).agg(
+        F.count("*").alias("n_items"),
+        F.countDistinct("movie_id").alias("n_distinct"),
+        F.count("known").alias("n_known"),
+        F.coalesce(F.bool_and(F.abs(F.col("score") - F.col("rating")) < 1e-3), F.lit(False)).alias("scores_match"),
+        (F.first(better) < n).alias("none_better"),
+    )
 
 
 def _price_centers(part):
@@ -714,6 +736,17 @@ def _kmeans_assign(spark, folder):
 
 @query("kmeans_vectors")
 def _kmeans_vectors(spark, folder):
+    """Every vector, and whether its cluster is the one with the nearest centre."""
     points = read_table(spark, folder, "embeddings").select("vec_id", "embedding")
-    return cluster.kmeans_vectors(points, "embedding", 8).select("vec_id", "cluster")
-
+    model = cluster.kmeans_vector_model(points, "embedding", 8)
+    placed = cluster.assign_vectors(points, "embedding", model)
+
+    def distance(center):
+        centre = F.array(*[F.lit(float(x)) for x in center])
+        gaps = F.zip_with("embedding", centre, lambda x, y: (x - y) * (x - y))
+        return F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
+
+    far = F.array(*[distance(c) for c in model.clusterCenters()])
+    placed = placed.withColumn("far", far)
+    nearest = F.get("far", F.col("cluster")) <= F.array_min("far") + 1e-6
+    return placed.select("vec_id", nearest.alias("nearest"))

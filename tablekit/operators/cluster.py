@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,12 +65,24 @@ def kmeans_assign(points: DataFrame, columns: Sequence[str], centers: Centers) -
     return points.withColumn("cluster", nearest(columns, centers))
 
 
+def kmeans_vector_model(
+    points: DataFrame, column: str, k: int, iterations: int = 20, seed: int = 42
+) -> KMeansModel:
+    """The library estimator fitted on an array column."""
+    vectors = points.select(array_to_vector(F.col(column)).alias("_features"))
+    return KMeans(
+        k=k, maxIter=iterations, seed=seed, featuresCol="_features", predictionCol="cluster"
+    ).fit(vectors)
+
+
+def assign_vectors(points: DataFrame, column: str, model: KMeansModel) -> DataFrame:
+    """Points with ``cluster`` from a fitted model."""
+    vectors = points.withColumn("_features", array_to_vector(F.col(column)))
+    return model.transform(vectors).drop("_features")
+
+
 def kmeans_vectors(
     points: DataFrame, column: str, k: int, iterations: int = 20, seed: int = 42
 ) -> DataFrame:
     """Points with ``cluster`` from the library estimator, for an array column."""
-    vectors = points.withColumn("_features", array_to_vector(F.col(column)))
-    model = KMeans(
-        k=k, maxIter=iterations, seed=seed, featuresCol="_features", predictionCol="cluster"
-    ).fit(vectors.select("_features"))
-    return model.transform(vectors).drop("_features")
+    return assign_vectors(points, column, kmeans_vector_model(points, column, k, iterations, seed))

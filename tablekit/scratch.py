@@ -12,10 +12,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,8 +41,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """An unused path below the shared folder."""
-    return f"{shared_folder(spark)}/tablekit/{name}-{uuid.uuid4().hex}"
+    """An unused path below the shared folder, inside the innermost ``scratch`` block."""
+    return f"{_scope.get() or f'{shared_folder(spark)}/tablekit'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Removes at its end every table written inside the block.
+
+    Results built in the block must be saved or collected before it ends.
+    """
+    folder = f"{shared_folder(spark)}/tablekit/scope-{uuid.uuid4().hex}"
+    before = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -9,9 +9,10 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tablekit.functions import cleanse
+from tablekit.operators.quality import quoted
 
 
 def _found(path: str, read: Callable[[str], DataFrame]) -> DataFrame:
@@ -33,17 +34,30 @@ def read_csv(
     path: str,
     schema: StructType | str | None = None,
     sep: str = ",",
-    null_value: str | None = None,
+    null_value: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Delimited text with a header line; double quotes protect a field.
 
     Give a ``schema`` for data of any size: without one Spark reads every byte
     a second time to infer the types. Empty fields are NULL, and so are those
-    equal to ``null_value``.
+    equal to ``null_value``. Several such markers need a schema; fields are then
+    read as text and cast, and values that do not fit their type are NULL.
     """
+    markers = [null_value] if isinstance(null_value, str) else list(null_value or [])
     reader = spark.read.option("header", True).option("sep", sep)
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
+    if len(markers) > 1:
+        if schema is None:
+            raise ValueError("several null markers need a schema")
+        fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        text = _found(path, reader.schema(StructType([StructField(f.name, StringType()) for f in fields])).csv)
+        return text.select(
+            *[
+                F.when(~text[quoted(f.name)].isin(markers), text[quoted(f.name)]).try_cast(f.dataType).alias(f.name)
+                for f in fields
+            ]
+        )
+    if markers:
+        reader = reader.option("nullValue", markers[0])
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     return _found(path, reader.csv)
 

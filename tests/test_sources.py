@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekit import sources as S
-from tablekit.scratch import shared_folder, written
+from tablekit.scratch import scratch, shared_folder, written
 
 
 @pytest.mark.parametrize(
@@ -140,3 +140,21 @@ def test_cluster_needs_a_shared_folder():
     named = OtherSession(spark__master="yarn", spark__checkpoint__dir="hdfs://x/y/")
     assert shared_folder(named) == "hdfs://x/y"
     assert Path(shared_folder(OtherSession(spark__master="local[2]"))).is_dir()
+
+
+def test_csv_with_several_null_markers(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("id,v,s\n1,-999,NA\n2,NA,ok\n3,7,-999\n4,,x\n")
+    found = S.read_csv(spark, str(path), "id int, v int, s string", null_value=["NA", "-999"])
+    assert found.dtypes == [("id", "int"), ("v", "int"), ("s", "string")]
+    assert sorted(tuple(r) for r in found.collect()) == [(1, None, None), (2, None, "ok"), (3, 7, None), (4, None, "x")]
+    with pytest.raises(ValueError, match="schema"):
+        S.read_csv(spark, str(path), null_value=["NA", "-999"])
+
+
+def test_scratch_removes_what_was_written_inside(spark):
+    with scratch(spark) as folder:
+        table = written(spark.range(10), "kept")
+        assert table.count() == 10 and all(folder in f for f in table.inputFiles())
+    assert not Path(folder).exists()
+    assert written(spark.range(3), "outside").count() == 3
