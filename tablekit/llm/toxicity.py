@@ -32,7 +32,7 @@ BUCKET_BITS = 18
 FACTORS = 6
 SAMPLE_ROWS = 20_000
 #: Bytes of a word's beginnings, which tie its forms together.
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 #: A bucket counts if so many fitted documents hold it and the shares differ by so many standard errors.
 MIN_DOCS, MIN_Z = 5, 4.0
 EPOCHS = 8
