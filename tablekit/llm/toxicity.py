@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tablekit.llm.shipping import ship
 from tablekit.llm.words import NOT_WORDS, word_hashes
+from tablekit.scratch import written
 
 BUCKET_BITS = 18
 FACTORS = 6
@@ -83,17 +84,29 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.logits(rows, sizes)[0], -50, 50)))
 
 
+def _counted(held: np.ndarray, toxic: np.ndarray, n: int, n_toxic: float) -> np.ndarray:
+    """The buckets that count, from the documents and the toxic documents that hold each."""
+    n_others = max(1, n - n_toxic)
+    n, n_toxic = max(1, n), max(1, n_toxic)
+    error = np.sqrt(held / n * (1 - held / n) * (1 / n_toxic + 1 / n_others))
+    z = np.abs(toxic / n_toxic - (held - toxic) / n_others) / np.maximum(error, 1e-12)
+    return np.flatnonzero((held >= MIN_DOCS) & (z >= MIN_Z))
+
+
 def fit(documents: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> FactorizationMachine:
-    """Minimises logistic loss by Adam on batches of rows."""
-    numbers = np.random.default_rng(seed)
+    """Fits on the buckets of the terms of each document."""
     everything = np.concatenate([np.empty(0, np.int64), *documents])
     held = np.bincount(everything, minlength=1 << BUCKET_BITS)
-    sizes = [len(x) for x in documents]
-    toxic = np.bincount(everything, np.repeat(labels, sizes), 1 << BUCKET_BITS)
-    n, n_toxic = max(1, len(labels)), labels.sum()
-    error = np.sqrt(held / n * (1 - held / n) * (1 / max(1, n_toxic) + 1 / max(1, n - n_toxic)))
-    z = np.abs(toxic / max(1, n_toxic) - (held - toxic) / max(1, n - n_toxic)) / np.maximum(error, 1e-12)
-    counted = np.flatnonzero((held >= MIN_DOCS) & (z >= MIN_Z))
+    toxic = np.bincount(everything, np.repeat(labels, [len(x) for x in documents]), 1 << BUCKET_BITS)
+    counted = _counted(held, toxic, len(labels), labels.sum())
+    return fit_counted(counted, [np.flatnonzero(np.isin(counted, x)) for x in documents], labels, seed)
+
+
+def fit_counted(
+    counted: np.ndarray, packed: list[np.ndarray], labels: np.ndarray, seed: int = 1
+) -> FactorizationMachine:
+    """Minimises logistic loss by Adam on batches of rows; ``packed`` has places in ``counted``."""
+    numbers = np.random.default_rng(seed)
     m = len(counted)
     place = np.full(1 << BUCKET_BITS, m, np.int64)
     place[counted] = np.arange(m)
@@ -106,8 +119,6 @@ def fit(documents: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Facto
     )
     if not 0 < share < 1:
         return model
-    packed = [place[x] for x in documents]
-    packed = [x[x < m] for x in packed]
     params = np.hstack([model.weights[:m, None], model.vectors[:m]])
     first, second = np.zeros_like(params), np.zeros_like(params)
     bias_first = bias_second = 0.0
@@ -150,7 +161,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample_rows)
     )
-    sample = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "toxic", "text")
+    # At most sample_rows ids; the texts stay where they are.
+    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "toxic", "text")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,10 +172,41 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
                 [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.binary())], ["doc_id", "toxic", "terms"]
             )
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = sample.mapInArrow(hashed, f"doc_id {id_type}, toxic int, terms binary").orderBy("doc_id", "terms").collect()
-    documents = [np.frombuffer(r.terms, "<u4").astype(np.int64) for r in rows]
-    return fit(documents, np.array([float(r.toxic == 1) for r in rows]))
+    fitted = written(sample.mapInArrow(hashed, f"doc_id {id_type}, toxic int, terms binary"), "toxicity-terms")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, toxic = (np.zeros(1 << BUCKET_BITS, np.int64) for _ in range(2))
+        for batch in batches:
+            for label, found in zip(batch.column("toxic").to_pylist(), batch.column("terms").to_pylist(), strict=True):
+                buckets = np.frombuffer(found, "<u4")  # each once
+                held[buckets] += 1
+                toxic[buckets] += label == 1
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some]), pa.array(toxic[some])], ["bucket", "held", "toxic"])
+
+    counts = fitted.select("toxic", "terms").mapInArrow(count, "bucket long, held long, toxic long")
+    counts = counts.groupBy("bucket").agg(F.sum("held").alias("held"), F.sum("toxic").alias("toxic"))
+    counts = counts.toArrow()  # at most 2 ** BUCKET_BITS rows of three numbers
+    held, toxic = (np.zeros(1 << BUCKET_BITS, np.int64) for _ in range(2))
+    buckets = counts.column("bucket").to_numpy()
+    held[buckets], toxic[buckets] = counts.column("held").to_numpy(), counts.column("toxic").to_numpy()
+    n, n_toxic = fitted.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0))).first()
+    counted = _counted(held, toxic, n, n_toxic)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                np.flatnonzero(np.isin(counted, np.frombuffer(x, "<u4"))).astype("<u4").tobytes()
+                for x in batch.column("terms").to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.binary())], ["doc_id", "toxic", "terms"]
+            )
+
+    # At most sample_rows rows, with the terms that count only.
+    rows = fitted.mapInArrow(pack, f"doc_id {id_type}, toxic int, terms binary").orderBy("doc_id", "terms").toArrow()
+    packed = [np.frombuffer(x.as_py(), "<u4") for x in rows.column("terms")]
+    return fit_counted(counted, packed, (rows.column("toxic").to_numpy() == 1).astype(float))
 
 
 def score_toxicity(docs: DataFrame, model: FactorizationMachine, toxic_from: float = TOXIC_FROM) -> DataFrame:
