@@ -12,7 +12,9 @@ reach the overlap asked for, or if all its sets have the same answer already.
 first. Members linked to a leader share its component, so lists need not bring them
 together. For other candidates only the leaders are compared; a member's overlap
 follows from its leader's up to the few shingles in which the two differ, and
-only where that leaves the answer open are the members themselves compared.
+only where that leaves the answer open are the members themselves compared. Before
+any text is read, pairs whose signatures (parities of shingles per bit) differ in
+more bits than linked sets can differ in shingles are left out.
 
 Any order of the shingles gives the same links. Shingles many documents share come
 last, so that few meet in their lists: of the shingles found in at least
@@ -51,8 +53,10 @@ MOST_FREQUENT = 1 << 18
 BLOCK = 256
 #: Members compared with one copy of their leader.
 LEADER_MEMBERS = 512
-#: Buckets of document ids by which texts that are not asked for are left out early.
-ID_BUCKETS = 1 << 18
+#: Bits by which rows that are not asked for are left out early: a table of at most 8 MB.
+ID_BITS = 1 << 26
+#: Longs of a signature.
+SIGNATURE = 16
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -87,6 +91,16 @@ def bands(shingle_set: np.ndarray) -> list[int]:
     return out
 
 
+def signature(shingle_set: np.ndarray) -> np.ndarray:
+    """Bits that tell whether an odd number of shingles falls on each.
+
+    Two sets differ in at least as many shingles as their signatures do in bits.
+    """
+    places = (mixed(shingle_set ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(32)) % np.uint64(64 * SIGNATURE)
+    odd = np.bincount(places.astype(np.int64), minlength=64 * SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _prefix(shingle_set: np.ndarray, percent: int, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The first shingles in the common order: any linked set shares one of them."""
     n = len(shingle_set)
@@ -141,22 +155,23 @@ def _frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def _sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per row ``doc_id``, ``n``, its digest, bands and prefix."""
+    """Per row ``doc_id``, ``n``, its digest, bands, signature and prefix."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(_frequent_shingles(docs, k))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, counts = shared.value
-        names = ["doc_id", "n", "d1", "d2", "bands", "prefix"]
+        names = ["doc_id", "n", "d1", "d2", "bands", "signature", "prefix"]
         for batch in batches:
             for start in range(0, batch.num_rows, 1_000):
                 part = batch.slice(start, 1_000)
-                sizes, digests, marks, prefixes = [], [], [], []
+                sizes, digests, marks, signatures, prefixes = [], [], [], [], []
                 for words in word_hashes(part.column("text").to_pylist()):
                     own = shingles(words, k)
                     sizes.append(len(own))
                     digests.append(digest(own))
                     marks.append(bands(own) if len(own) else [])
+                    signatures.append(signature(own))
                     prefixes.append(_prefix(own, percent, frequent, counts).astype(np.int64) if len(own) else [])
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -166,15 +181,52 @@ def _sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
                         pa.array([d[0] for d in digests], pa.int64()),
                         pa.array([d[1] for d in digests], pa.int64()),
                         pa.array(marks, longs),
+                        pa.array(signatures, longs),
                         pa.array(prefixes, longs),
                     ],
                     names,
                 )
 
-    schema = "doc_id long, n long, d1 long, d2 long, bands array<bigint>, prefix array<bigint>"
+    schema = (
+        "doc_id long, n long, d1 long, d2 long, bands array<bigint>, signature array<bigint>, prefix array<bigint>"
+    )
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, schema)
 
 
+def _asked_for(rows: DataFrame, column: str, asked: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not among the numbers ``asked``, and no others lost.
+
+    The numbers asked for set bits of a table of fixed size, which is broadcast; a
+    join that follows then shuffles few rows it has no use for.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BITS)) + 1
+    bits = asked.select(bit(asked.columns[0]).alias("bit")).distinct()
+    pages = bits.groupBy(F.bitmap_bucket_number("bit").alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("page_bits")
+    )
+    place = F.bitmap_bit_position(bit(column))
+    byte = F.conv(F.hex(F.substring("page_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (place % 8).cast("int")) == 1
+    return rows.join(F.broadcast(pages), (F.bitmap_bucket_number(bit(column)) == F.col("page")) & is_set, "left_semi")
+
+
+def _may_link(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes ``(x, dx, y, dy)`` without those whose signatures differ in too many bits."""
+    asked = pairs.select(F.col("x").alias("rep")).unionByName(pairs.select(F.col("y").alias("rep")))
+    own = _asked_for(classes.select("rep", "d1", "n", "signature"), "rep", asked)
+    for side in "xy":
+        theirs = own.select(
+            F.col("rep").alias(side), F.col("d1").alias(f"d{side}"), F.col("n").alias(f"size_{side}"),
+            F.col("signature").alias(f"signature_{side}"),
+        )
+        pairs = pairs.join(theirs, [side, f"d{side}"])
+    differ = F.zip_with("signature_x", "signature_y", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    # The union is the overlap and what differs: o = (sizes - differ) / 2.
+    most = F.col("size_x") + F.col("size_y") - F.aggregate(differ, F.lit(0), lambda done, n: done + n)
+    reached = (100 + percent) * most >= 2 * percent * (F.col("size_x") + F.col("size_y"))
+    return pairs.where(reached).drop("size_x", "size_y", "signature_x", "signature_y")
+
+
 def _overlaps(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """The exact overlap ``o`` of pairs of classes ``(x, dx, y, dy)``.
 
@@ -191,10 +243,7 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
         ),
         "ngram-sides",
     )
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS))
-    asked = sides.select(bucket("doc").alias("bucket")).distinct()  # at most ID_BUCKETS rows
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").withColumn("bucket", bucket("doc"))
-    texts = texts.join(F.broadcast(asked), "bucket", "left_semi").drop("bucket")
+    texts = _asked_for(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), "doc", sides.select("doc"))
     rows = (
         texts.join(sides, "doc")
         .select("key", "dkey", "copy", "role", "doc", "own", "text")
@@ -305,8 +354,8 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     usable = sketches.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = written(
         usable.groupBy("d1", "d2")
-        .agg(F.min(F.struct("doc_id", "n", "bands", "prefix")).alias("first"))
-        .select("d1", "d2", F.col("first.doc_id").alias("rep"), "first.n", "first.bands", "first.prefix"),
+        .agg(F.min(F.struct("doc_id", "n", "bands", "signature", "prefix")).alias("first"))
+        .select("d1", "d2", F.col("first.doc_id").alias("rep"), "first.n", "first.bands", "first.signature", "first.prefix"),
         "ngram-classes",
     )
     linked = lambda o: 100 * F.col(o) >= percent * (F.col("nx") + F.col("ny") - F.col(o))
@@ -326,7 +375,8 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         .where((F.col("x") != F.col("y")) | (F.col("dx") != F.col("dy")))
         .distinct()
     )
-    stars = _overlaps(docs, pairs, words).where(linked("o"))
+    pairs = written(pairs, "ngram-marked")
+    stars = _overlaps(docs, _may_link(classes, pairs, percent), words).where(linked("o"))
     star_links = stars.select(F.col("x").alias("u"), F.col("y").alias("v"))
 
     # Rows that share an id are one node.
@@ -343,6 +393,7 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         .withColumn("pos", F.col("pos").cast("long"))
     )
     candidates = written(_candidates(entries, percent), "ngram-candidates")
+    candidates = written(_may_link(classes, candidates, percent), "ngram-likely")
 
     # A member's answers follow from its leader's: it has x_more shingles its leader has not, and lacks x_less.
     best = stars.groupBy(F.col("x").alias("m"), F.col("dx").alias("dm")).agg(
