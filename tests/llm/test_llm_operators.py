@@ -177,6 +177,26 @@ def test_ngram_components_equal_brute_force(spark, documents, k, percent):
     assert got == brute_force_components(documents, k, percent)
 
 
+def test_signatures_lose_no_link():
+    numbers = np.random.default_rng(3)
+    for n in (1, 2, 30, 500, 5000):
+        one = np.unique(numbers.integers(0, 1 << 63, n, dtype=np.uint64))
+        for changed in {0, 1, n // 10, n}:
+            two = np.unique(np.append(one[changed:], numbers.integers(0, 1 << 63, changed, dtype=np.uint64)))
+            bits = (ngram_join.signature(one) ^ ngram_join.signature(two)).view(np.uint64)
+            differ = len(np.setxor1d(one, two))
+            assert sum(int(b).bit_count() for b in bits) <= differ
+    assert not ngram_join.signature(np.empty(0, np.uint64)).any()
+
+
+def test_asked_for_keeps_all_that_are_asked(spark):
+    rows = spark.range(-50_000, 50_000).withColumnRenamed("id", "doc")
+    asked = spark.range(-50_000, 50_000, 7)
+    kept = [r.doc for r in ngram_join._asked_for(rows, "doc", asked).collect()]
+    assert len(kept) == len(set(kept)) and set(range(-50_000, 50_000, 7)) <= set(kept) and len(kept) < 14_500
+    assert ngram_join._asked_for(rows, "doc", asked.limit(0)).count() == 0
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(3, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
