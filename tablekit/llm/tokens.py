@@ -2,14 +2,17 @@
 
 The ids are those of a tokenizers file. They are computed with tiktoken from the
 same vocabulary's ranks, which takes a fraction of the time; the driver checks on a
-probe text that both agree before anything is planned.
+probe text that both agree before anything is planned. The pattern makes tiktoken give
+up on a run of a million white-space characters, so texts with very long runs are
+encoded with the tokenizers file itself.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +21,10 @@ import tiktoken
 #: Rows turned into Python texts at once, and characters encoded before they are handed on.
 ROWS, BLOCK_CHARS = 256, 500_000
 
+#: White-space characters in a row from which on tiktoken is not asked.
+LONG_RUN = 200_000
+_long_run = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")
+
 PROBE = (
     "The 1st probe isn't long;\tit has\n\n  runs of   space, <|endoftext|>, l'été, Öl, "
     "日本語 русский \U0001f600 á  x y 12345 #*$%&|<> we'll\r\n "
@@ -27,18 +34,32 @@ PROBE = (
 class Encoder:
     """Encodes texts; special tokens' strings are ordinary text."""
 
-    def __init__(self, ranks: str, pattern: str):
+    def __init__(self, ranks: str, pattern: str, file: str):
+        self.file = file
         with open(ranks) as lines:
             known = {base64.b64decode(token): int(rank) for token, rank in map(str.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known, special_tokens={})
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.file)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
+    def ids(self, text: str) -> np.ndarray:
+        if len(text) >= LONG_RUN and _long_run.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.encoding.encode_to_numpy(text, disallowed_special=())
+
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Yields ``(ids, bounds)`` for runs of texts in order; text i has ``ids[bounds[i]:bounds[i + 1]]``."""
         found, chars = [], 0
         for start in range(0, len(texts), ROWS):
             for text in texts.slice(start, ROWS).to_pylist():
                 text = text or ""
-                found.append(self.encoding.encode_to_numpy(text, disallowed_special=()))
+                found.append(self.ids(text))
                 chars += len(text)
                 if chars >= BLOCK_CHARS:
                     yield self._joined(found)
@@ -55,23 +76,23 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def _new_encoder(name: str) -> Encoder:
+    import public_tokenizers as public
+
+    return Encoder(public.path(f"{name}.tiktoken"), public.PATTERN, public.path(f"{name}.json"))
+
+
 def encoder(name: str) -> Encoder:
     """One encoder per Python worker and public vocabulary; ``name`` is that of its files without ending."""
     if name not in _encoders:
-        import public_tokenizers as public
-
-        _encoders[name] = Encoder(public.path(f"{name}.tiktoken"), public.PATTERN)
+        _encoders[name] = _new_encoder(name)
     return _encoders[name]
 
 
 @cache
 def check_ranks(name: str) -> None:
     """Fails if the ranks give other ids than the tokenizers file of the same name."""
-    import public_tokenizers as public
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(public.path(f"{name}.json"))
-    tokenizer.encode_special_tokens = True
-    want = tokenizer.encode(PROBE, add_special_tokens=False).ids
-    if want != Encoder(public.path(f"{name}.tiktoken"), public.PATTERN).encoding.encode_ordinary(PROBE):
+    probed = _new_encoder(name)
+    want = probed.tokenizer.encode(PROBE, add_special_tokens=False).ids
+    if want != probed.encoding.encode_ordinary(PROBE):
         raise ValueError("the ranks do not belong to the vocabulary")

@@ -218,6 +218,26 @@ def test_ids_are_those_of_the_tokenizer(documents):
     assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_ids_of_very_long_white_space():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    texts = [f"a{c * 1_000_000}b" for c in (" ", "\n", "\u3000")] + [" " * 1_000_000, " \n" * 199_000 + "end", "after"]
+    texts += [f"<|endoftext|>{' ' * n}x" for n in (tokens.LONG_RUN - 1, tokens.LONG_RUN)]
+    got = []
+    for ids, bounds in tokens.encoder("byte_bpe_50k").encode(pa.array(texts)):
+        got += [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(len(bounds) - 1)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packing_takes_very_long_white_space(spark):
+    docs = spark.createDataFrame([(1, "a" + " " * 1_000_000 + "b"), (2, "c")], "doc_id long, text string")
+    assert packing.pack(docs).where("doc_id = 1").agg({"length": "sum"}).first()[0] > 1_000_000
+
+
 def test_packing_is_gapless_and_best_fit(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = packing.pack(docs, keep_ids=True).collect()
