@@ -3,8 +3,11 @@
 Per document two histograms are counted: characters by class and common words by
 word. A language's reference is the sum of its documents that pass the base
 rules. A document whose Jensen-Shannon distance (base 2, from 0 to 1) to its
-reference exceeds a threshold is rejected, if it and the reference are long
-enough to say so.
+reference exceeds a limit is rejected, if the reference is long enough to say so.
+Short texts are far from any reference by chance, so the limits come from the corpus:
+per language and band of lengths a multiple of the median distance of the documents
+that pass the base rules, within fixed bounds. A band of few documents has the upper
+bound.
 
 Everything is DataFrame functions; a document's trigrams are compared by a 64-bit
 hash inside its own row, so no words are shuffled.
@@ -27,13 +30,18 @@ SPACE = " \t\n\x0b\x0c\r"
 SPACES = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 50
 MAX_REPEATED_PCT = 50
-#: A histogram of a document is judged from so many characters or words on.
+#: The characters of a document are judged from so many on; its words always are.
 MIN_JUDGED_CHARS = 250
-MIN_JUDGED_WORDS = 150
 #: A reference counts from so many words on.
 MIN_REFERENCE_WORDS = 5_000
+#: Limits are so many times the median distance, but within these bounds.
+CLASS_TIMES_MEDIAN, WORD_TIMES_MEDIAN = 2.0, 1.5
+LEAST_CLASS_LIMIT, LEAST_WORD_LIMIT = 0.2, 0.24
 MAX_CLASS_DISTANCE = 0.28
 MAX_WORD_DISTANCE = 0.31
+#: A band has limits of its own from so many documents on; medians are exact to one step.
+MIN_BAND_DOCS = 20
+STEPS = 1000
 
 # Character classes as patterns; what is left is a class of its own.
 CLASSES = {
@@ -127,12 +135,43 @@ def quality_features(docs: DataFrame) -> DataFrame:
     )
 
 
+def with_distances(features: DataFrame, references: DataFrame) -> DataFrame:
+    return (
+        features.join(references, F.col("lang").eqNullSafe(F.col("reference_lang")), "left")
+        .withColumn("class_distance", js_distance(F.col("class_counts"), F.col("class_reference")))
+        .withColumn("word_distance", js_distance(F.col("word_counts"), F.col("word_reference")))
+        .withColumn("band", F.floor(F.log2(F.col("n_words") / MIN_WORDS)))
+    )
+
+
+def distance_limits(passed: DataFrame, max_class_distance: float, max_word_distance: float) -> DataFrame:
+    """``limit_lang``, ``limit_band`` and both limits, from the documents that pass the base rules.
+
+    Distances are counted in steps first, so a group's state has at most ``STEPS`` entries.
+    """
+    step = lambda c: F.floor(F.col(c) * STEPS).alias(c)
+    counts = passed.groupBy("lang", "band", step("class_distance"), step("word_distance")).agg(F.count("*").alias("n"))
+    median = lambda c: F.percentile(c, 0.5, F.col("n")) / STEPS
+
+    def limit(c: str, times: float, least: float, most: float) -> Column:
+        inside = F.least(F.greatest(times * median(c), F.lit(least)), F.lit(most))
+        return F.when(F.sum("n") >= MIN_BAND_DOCS, inside).otherwise(F.lit(most))
+
+    return counts.groupBy(F.col("lang").alias("limit_lang"), F.col("band").alias("limit_band")).agg(
+        limit("class_distance", CLASS_TIMES_MEDIAN, LEAST_CLASS_LIMIT, max_class_distance).alias("class_limit"),
+        limit("word_distance", WORD_TIMES_MEDIAN, LEAST_WORD_LIMIT, max_word_distance).alias("word_limit"),
+    )
+
+
 def judge_quality(
     docs: DataFrame,
     max_class_distance: float = MAX_CLASS_DISTANCE,
     max_word_distance: float = MAX_WORD_DISTANCE,
 ) -> DataFrame:
-    """``row`` with the counts, ``base_failed``, both distances and ``kept``."""
+    """``row`` with the counts, ``base_failed``, both distances and ``kept``.
+
+    ``max_class_distance`` and ``max_word_distance`` are the upper bounds of the limits.
+    """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PCT * F.col("n_words"))
     features = written(quality_features(docs).withColumn("base_failed", failed), "quality-features")
     n_classes, n_bins = len(CLASSES) + 2, len(COMMON_WORDS) + 1
@@ -149,16 +188,17 @@ def judge_quality(
     references = written(references, "quality-references")
     enough = F.coalesce(F.col("reference_words") >= MIN_REFERENCE_WORDS, F.lit(False))
     chars = F.aggregate("class_counts", F.lit(0).cast("bigint"), lambda s, x: s + x)
-    far = lambda guard, distance, most: F.coalesce(enough & guard & (F.col(distance) > most), F.lit(False))
+    passed = features.where(~F.col("base_failed")).select("lang", "n_words", "class_counts", "word_counts")
+    limits = distance_limits(with_distances(passed, references), max_class_distance, max_word_distance)
+    limits = written(limits, "quality-limits")
+    same_band = F.col("lang").eqNullSafe(F.col("limit_lang")) & (F.col("band") == F.col("limit_band"))
+    far = lambda guard, kind: F.coalesce(
+        enough & guard & (F.col(f"{kind}_distance") > F.col(f"{kind}_limit")), F.lit(False)
+    )
     return (
-        features.join(references, F.col("lang").eqNullSafe(F.col("reference_lang")), "left")
-        .withColumn("class_distance", js_distance(F.col("class_counts"), F.col("class_reference")))
-        .withColumn("word_distance", js_distance(F.col("word_counts"), F.col("word_reference")))
-        .withColumn(
-            "rejected",
-            far(chars >= MIN_JUDGED_CHARS, "class_distance", max_class_distance)
-            | far(F.col("n_words") >= MIN_JUDGED_WORDS, "word_distance", max_word_distance),
-        )
+        with_distances(features, references)
+        .join(limits, same_band, "left")
+        .withColumn("rejected", far(chars >= MIN_JUDGED_CHARS, "class") | far(F.lit(True), "word"))
         .select(
             "row",
             "n_words",

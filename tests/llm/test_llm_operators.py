@@ -147,6 +147,25 @@ def test_quality_keeps_good_and_drops_bad(spark):
     assert share[1] > 0.98 and share[0] < 0.7
 
 
+def test_quality_rejects_nearly_all_bad(spark):
+    folder = f"{TESTDATA}/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = QUERIES["op7_quality_rules"](spark, folder).where("not base_failed").join(labels, "doc_id").collect()
+    share = lambda rows: sum(r.kept for r in rows) / len(rows)
+    assert share([r for r in judged if r.quality]) > 0.99 and share([r for r in judged if not r.quality]) < 0.1
+    assert share([r for r in judged if not r.quality and r.n_words < 150]) < 0.2
+
+
+def test_quality_limits_stay_within_bounds(spark):
+    rows = [("en", 1, 0.1, 0.18)] * 30 + [("en", 2, 0.02, 0.02)] * 30 + [("en", 3, 0.1, 0.1)] * 5 + [(None, 1, 0.4, 0.4)] * 30
+    passed = spark.createDataFrame(rows, "lang string, band long, class_distance double, word_distance double")
+    limits = quality_rules.distance_limits(passed, 0.28, 0.31).collect()
+    got = {(r.limit_lang, r.limit_band): (r.class_limit, r.word_limit) for r in limits}
+    assert got == {
+        ("en", 1): (pytest.approx(0.2), pytest.approx(0.27)), ("en", 2): (0.2, 0.24), ("en", 3): (0.28, 0.31), (None, 1): (0.28, 0.31),
+    }
+
+
 def brute_force_components(documents, k, percent):
     sets = []
     for d in documents:
