@@ -404,6 +404,47 @@ def test_url_rules_and_model(spark):
     assert {r.row.url: (r.host, r.path) for r in got}["HTTP://WWW.Example.NET/en/1"] == ("www.example.net", "/en/1")
 
 
+# Hosts and suffixes that are not in the labelled table; none was used to fit or to set the cut.
+UNSEEN_BLOCKED = (
+    "http://www.pornhub.com/", "https://mega-casino.io/slots/7",
+    "http://luckyspins.co/casino-bonus", "https://pokerstars.bet/play-poker",
+    "http://freebets4u.ru/odds", "https://cam-sex-live.tv/nude",
+    "http://hardporn.xyz/videos", "https://adult-dating.club/sexy-singles",
+    "http://viagra-store.shop/order", "https://buypillsonline.ru/cheap",
+    "http://keygen-world.to/crack", "https://warez-portal.cc/serials",
+    "http://instant-cash-loans.co/payday", "https://make-money-now.top/earn",
+    "http://verify-your-account.top/login", "https://prize-winner.club/claim",
+    "http://replica-handbags.shop/cheap", "https://ads.clicktrack.io/banner",
+    "http://adserver.tv/track/77", "https://jackpot-city.ca/win",
+)
+UNSEEN_ALLOWED = (
+    "https://garden-club.ca/history/roses", "http://astronomy.io/telescopes",
+    "https://parliament.uk/business/debates", "http://kitchen.co/pasta",
+    "https://botany-journal.nl/volume-3", "http://www.bakery.it/menu",
+    "https://orchestra.ch/programme", "http://lighthouse.se/tours",
+    "https://python-tutorial.dev/lists", "http://bicycle-repair.nl/brakes",
+    "https://essex-county.uk/libraries", "http://kindergarten.at/contact",
+    "https://volcano.is/maps", "http://advent-calendar.at/december",
+    "https://m.geography.se/en/rivers", "http://dictionary.it/word/serendipity",
+    "https://winchester.uk/cathedral", "http://cheapside-church.uk/services",
+    "https://betty-cooks.au/cake", "http://ththan.zz/en/3120",
+)
+
+
+def test_url_model_on_unseen_hosts(spark):
+    pages = spark.createDataFrame([(u,) for u in UNSEEN_BLOCKED + UNSEEN_ALLOWED], "url string")
+    got = {r.row.url: r for r in url_filter.judge_urls(pages, url_filter.labelled_urls(spark)).collect()}
+    assert all(r.rule is None for r in got.values())
+    assert sum(got[u].verdict == "block" for u in UNSEEN_BLOCKED) >= 9
+    assert not any(got[u].verdict == "block" for u in UNSEEN_ALLOWED)
+
+
+def test_url_cut_is_that_of_cross_validation(spark):
+    scores = [r.p_block for r in url_filter.cross_validated(url_filter.labelled_urls(spark)).where("label = 0").collect()]
+    wrong = lambda cut: sum(p >= cut for p in scores) / len(scores)
+    assert url_filter.BLOCK_FROM == min(c / 100 for c in range(50, 100) if wrong(c / 100) < 0.05)
+
+
 def test_pipeline_stage_by_stage(spark, documents):
     by_id = {d["doc_id"]: d for d in documents}
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
