@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablekit.llm.alignment import align_tokenizers
 from tablekit.llm.chat import conversation_digests, format_chat
 from tablekit.llm.embedding_dedup import link_vectors
+from tablekit.llm.language_id import fit_languages, identify_languages
 from tablekit.llm.line_dedup import dedup_lines
 from tablekit.llm.mixing import mix
 from tablekit.llm.ngram_join import ngram_components
 from tablekit.llm.packing import pack
+from tablekit.llm.prefix_trie import conversation_trie
 from tablekit.llm.quality_rules import judge_quality
 from tablekit.llm.token_output import read_records, record_digests, write_shards
 from tablekit.llm.toxicity import fit_toxicity, score_toxicity
@@ -91,6 +94,19 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(pages, labelled_urls(spark)).select("row.page_id", "host", "path", "rule", "verdict")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(read_table(spark, folder, "conversations"))
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return identify_languages(docs, fit_languages(docs))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokenizers(read_table(spark, folder, "documents"))[0]
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -102,4 +118,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_language_id": op12_language_id,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }

@@ -1,15 +1,21 @@
 """Token ids of whole texts.
 
-The ids are those of a tokenizers file. They are computed with tiktoken from the
-same vocabulary's ranks, which takes a fraction of the time; the driver checks on a
-probe text that both agree before anything is planned. The pattern makes tiktoken give
-up on a run of a million white-space characters, so texts with very long runs are
-encoded with the tokenizers file itself.
+The ids are those of a tokenizers file, called as it is: a special token's string in a
+text is that token. With ``specials_as_text`` such strings are ordinary text.
+
+The ids are computed with tiktoken from the same vocabulary's ranks, which takes a
+fraction of the time; the driver checks on a probe text that both agree before anything
+is planned. Texts that hold a special token's string, and texts with a run of white
+space so long that tiktoken's pattern gives up, are encoded with the tokenizers file
+itself.
+
+Defined cases: a null or empty text has no ids; very long texts are encoded whole.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections.abc import Iterator
 from functools import cache, cached_property
@@ -32,24 +38,32 @@ PROBE = (
 
 
 class Encoder:
-    """Encodes texts; special tokens' strings are ordinary text."""
+    """Encodes texts as the tokenizers file does."""
 
-    def __init__(self, ranks: str, pattern: str, file: str):
-        self.file = file
+    def __init__(self, ranks: str, pattern: str, file: str, specials_as_text: bool = False):
+        self.file, self.specials_as_text = file, specials_as_text
         with open(ranks) as lines:
-            known = {base64.b64decode(token): int(rank) for token, rank in map(str.split, lines)}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known, special_tokens={})
+            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(str.split, lines)}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+        with open(file) as described:
+            specials = [x["content"] for x in json.load(described).get("added_tokens") or []]
+        self.special = re.compile("|".join(map(re.escape, specials))) if specials and not specials_as_text else None
+
+    def tokens(self) -> dict[int, bytes]:
+        """The bytes of each id, special tokens left out."""
+        return {rank: token for token, rank in self.ranks.items()}
 
     @cached_property
     def tokenizer(self):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(self.file)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = self.specials_as_text
         return tokenizer
 
     def ids(self, text: str) -> np.ndarray:
-        if len(text) >= LONG_RUN and _long_run.search(text):
+        special = self.special is not None and self.special.search(text)
+        if special or (len(text) >= LONG_RUN and _long_run.search(text)):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.encoding.encode_to_numpy(text, disallowed_special=())
 
@@ -73,26 +87,22 @@ class Encoder:
         return np.concatenate(found).astype(np.uint32), bounds
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _new_encoder(name: str) -> Encoder:
+def _new_encoder(name: str, specials_as_text: bool) -> Encoder:
     import public_tokenizers as public
 
-    return Encoder(public.path(f"{name}.tiktoken"), public.PATTERN, public.path(f"{name}.json"))
+    return Encoder(public.path(f"{name}.tiktoken"), public.PATTERN, public.path(f"{name}.json"), specials_as_text)
 
 
-def encoder(name: str) -> Encoder:
+@cache
+def encoder(name: str, specials_as_text: bool = False) -> Encoder:
     """One encoder per Python worker and public vocabulary; ``name`` is that of its files without ending."""
-    if name not in _encoders:
-        _encoders[name] = _new_encoder(name)
-    return _encoders[name]
+    return _new_encoder(name, specials_as_text)
 
 
 @cache
 def check_ranks(name: str) -> None:
     """Fails if the ranks give other ids than the tokenizers file of the same name."""
-    probed = _new_encoder(name)
+    probed = _new_encoder(name, True)
     want = probed.tokenizer.encode(PROBE, add_special_tokens=False).ids
     if want != probed.encoding.encode_ordinary(PROBE):
         raise ValueError("the ranks do not belong to the vocabulary")
