@@ -306,7 +306,14 @@ def link_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, target_reca
         ),
         "vectors-facts",
     )
-    result = rows.select("vec_id", "h1", "h2").join(facts, ["h1", "h2"], "left")
+    # Hashes of arrays skip nulls, so only usable vectors may meet by hash; the others have no facts.
+    none = [F.lit(None).cast("long").alias(c) for c in ("component_id", "n_links")]
+    result = (
+        rows.where("usable")
+        .join(facts, ["h1", "h2"], "left")
+        .select("vec_id", "component_id", "n_links")
+        .unionByName(rows.where(~F.col("usable")).select("vec_id", *none))
+    )
     component = F.coalesce("component_id", "vec_id").cast("long")
     return result.select(
         "vec_id",
