@@ -7,7 +7,8 @@ the lines that stay, by position.
 
 Defined cases: a null text is empty, one empty line; rows that share a ``doc_id``
 (null included) count as one document; a null ``doc_id`` is smaller than all
-others; repeated rows lose the same lines; an empty table gives an empty result.
+others; repeated rows lose the same lines; very long texts are split whole; extra
+columns stay inside ``row``, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.llm.bits import asked_for
 from tablekit.scratch import written
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -63,20 +65,25 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     # array_except hashes its second side, so a document costs time in proportion to its lines.
     left = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("drops"))
     kept = F.array_join(F.transform(left, lambda i: F.get(F.col("lines"), i)), "\n")
-    return (
-        base.withColumn("text_hash", F.xxhash64("text"))
+    hashed = base.withColumn("text_hash", F.xxhash64("text"))
+    hashes = dropped.select("their_hash")
+    one = F.lit(1).cast("long")
+    # Documents that lose nothing stay where they are; only the others meet their positions by a shuffle.
+    untouched = asked_for(hashed, "text_hash", hashes, found=False).select(
+        "row",
+        (F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + one).alias("n_lines"),
+        F.lit(0).cast("long").alias("n_dropped"),
+        F.col("text").alias("kept"),
+    )
+    touched = (
+        asked_for(hashed, "text_hash", hashes)
         .join(
-            dropped,
+            dropped.hint("merge"),
             F.col("doc_id").eqNullSafe(F.col("their_id")) & (F.col("text_hash") == F.col("their_hash")),
             "left",
         )
-        .withColumn("lines", F.when(F.col("drops").isNotNull(), F.split("text", "\n")))
-        .withColumn(
-            "n_lines",
-            F.when(F.col("drops").isNotNull(), F.size("lines")).otherwise(
-                F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
-            ),
-        )
+        .withColumn("lines", F.split("text", "\n"))
+        .withColumn("n_lines", F.size("lines"))
         .select(
             "row",
             F.col("n_lines").cast("long").alias("n_lines"),
@@ -84,6 +91,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
             F.when(F.col("drops").isNull(), F.col("text")).otherwise(kept).alias("kept"),
         )
     )
+    return untouched.unionByName(touched)
 
 
 def deduplicated_documents(docs: DataFrame, **options) -> DataFrame:
