@@ -23,9 +23,10 @@ the largest counts over all documents; this table is broadcast.
 
 Defined cases: a null text, or one without words, has an empty set and links with
 nothing; fewer words than a shingle are one shingle; a null ``doc_id`` links with
-nothing and has no component; rows that share a ``doc_id`` count as linked;
-repeated rows get the same answer; extra columns are left out; an empty table gives
-an empty result.
+nothing and has no component; rows that share a ``doc_id`` count as linked, but
+:func:`distinct_documents` keeps one of each of their groups of texts; repeated rows
+get the same answer; very long texts are read whole; extra columns are left out; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.llm.bits import asked_for
 from tablekit.llm.components import components
 from tablekit.llm.shipping import ship
 from tablekit.llm.words import mixed, word_hashes
@@ -53,8 +55,6 @@ MOST_FREQUENT = 1 << 18
 BLOCK = 256
 #: Members compared with one copy of their leader.
 LEADER_MEMBERS = 512
-#: Bits by which rows that are not asked for are left out early: a table of at most 8 MB.
-ID_BITS = 1 << 26
 #: Longs of a signature.
 SIGNATURE = 16
 
@@ -155,13 +155,13 @@ def _frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def _sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per row ``doc_id``, ``n``, its digest, bands, signature and prefix."""
+    """Per row ``doc_id``, ``text_hash``, ``n``, its digest, bands, signature and prefix."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(_frequent_shingles(docs, k))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, counts = shared.value
-        names = ["doc_id", "n", "d1", "d2", "bands", "signature", "prefix"]
+        names = ["doc_id", "text_hash", "n", "d1", "d2", "bands", "signature", "prefix"]
         for batch in batches:
             for start in range(0, batch.num_rows, 1_000):
                 part = batch.slice(start, 1_000)
@@ -177,6 +177,7 @@ def _sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("text_hash"),
                         pa.array(sizes, pa.int64()),
                         pa.array([d[0] for d in digests], pa.int64()),
                         pa.array([d[1] for d in digests], pa.int64()),
@@ -188,32 +189,17 @@ def _sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 )
 
     schema = (
-        "doc_id long, n long, d1 long, d2 long, bands array<bigint>, signature array<bigint>, prefix array<bigint>"
+        "doc_id long, text_hash long, n long, d1 long, d2 long, bands array<bigint>, signature array<bigint>,"
+        " prefix array<bigint>"
     )
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, schema)
-
-
-def _asked_for(rows: DataFrame, column: str, asked: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose ``column`` is not among the numbers ``asked``, and no others lost.
-
-    The numbers asked for set bits of a table of fixed size, which is broadcast; a
-    join that follows then shuffles few rows it has no use for.
-    """
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BITS)) + 1
-    bits = asked.select(bit(asked.columns[0]).alias("bit")).distinct()
-    pages = bits.groupBy(F.bitmap_bucket_number("bit").alias("page")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("page_bits")
-    )
-    place = F.bitmap_bit_position(bit(column))
-    byte = F.conv(F.hex(F.substring("page_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.getbit(byte, (place % 8).cast("int")) == 1
-    return rows.join(F.broadcast(pages), (F.bitmap_bucket_number(bit(column)) == F.col("page")) & is_set, "left_semi")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(sketch, schema)
 
 
 def _may_link(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes ``(x, dx, y, dy)`` without those whose signatures differ in too many bits."""
     asked = pairs.select(F.col("x").alias("rep")).unionByName(pairs.select(F.col("y").alias("rep")))
-    own = _asked_for(classes.select("rep", "d1", "n", "signature"), "rep", asked)
+    own = asked_for(classes.select("rep", "d1", "n", "signature"), "rep", asked)
     for side in "xy":
         theirs = own.select(
             F.col("rep").alias(side), F.col("d1").alias(f"d{side}"), F.col("n").alias(f"size_{side}"),
@@ -243,7 +229,7 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
         ),
         "ngram-sides",
     )
-    texts = _asked_for(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), "doc", sides.select("doc"))
+    texts = asked_for(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), "doc", sides.select("doc"))
     rows = (
         texts.join(sides, "doc")
         .select("key", "dkey", "copy", "role", "doc", "own", "text")
@@ -343,11 +329,10 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(walk, ", ".join(f"{c} long" for c in out)).distinct()
 
 
-def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row.
+def _labelled(docs: DataFrame, words: int, percent: int, join_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """All rows with their sketches, and the classes with ``label``, the least digest of their group.
 
-    Two documents link if ``100 * intersection >= percent * union``; the component
-    is the smallest ``doc_id`` reachable by links.
+    With ``join_ids`` rows that share a ``doc_id`` are linked.
     """
     ship(docs.sparkSession)
     sketches = written(_sketches(docs, words, percent), "ngram-sketches")
@@ -377,18 +362,17 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     )
     pairs = written(pairs, "ngram-marked")
     stars = _overlaps(docs, _may_link(classes, pairs, percent), words).where(linked("o"))
-    star_links = stars.select(F.col("x").alias("u"), F.col("y").alias("v"))
-
-    # Rows that share an id are one node.
-    owners = sketches.select("doc_id", "d1", "d2").join(classes.select("d1", "d2", "rep"), ["d1", "d2"])
-    owners = owners.where(F.col("doc_id").isNotNull()).groupBy("doc_id", "rep").agg(F.lit(1).alias("one"))
-    several = owners.groupBy("doc_id").agg(F.min("rep").alias("v"), F.count("one").alias("n")).where(F.col("n") > 1)
-    same_id = owners.join(several, "doc_id").select(F.col("rep").alias("u"), "v")
-    known = written(components(star_links.unionByName(same_id)), "ngram-known")
+    # A class is a node by its digest, as rows of one id may be of several classes.
+    links = stars.select(F.col("dx").alias("u"), F.col("dy").alias("v"))
+    if join_ids:
+        owners = usable.groupBy("doc_id", "d1").agg(F.lit(1).alias("one"))
+        several = owners.groupBy("doc_id").agg(F.min("d1").alias("v"), F.count("one").alias("n")).where(F.col("n") > 1)
+        links = links.unionByName(owners.join(several, "doc_id").select(F.col("d1").alias("u"), "v"))
+    known = written(components(links), "ngram-known")
 
     entries = (
-        classes.join(known, F.col("rep") == F.col("node"), "left")
-        .withColumn("comp", F.coalesce("component", "rep"))
+        classes.join(known, F.col("d1") == F.col("node"), "left")
+        .withColumn("comp", F.coalesce("component", "d1"))
         .select("rep", "d1", "n", "comp", F.posexplode("prefix").alias("pos", "shingle"))
         .withColumn("pos", F.col("pos").cast("long"))
     )
@@ -430,43 +414,62 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         .where(linked("at_most")),
         "ngram-bounds",
     )
-    derived = bounds.where(linked("at_least")).select(F.col("x").alias("u"), F.col("y").alias("v"))
+    derived = bounds.where(linked("at_least")).select(F.col("dx").alias("u"), F.col("dy").alias("v"))
     edges = known.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(derived)
     open_pairs = bounds.where(~linked("at_least")).select("x", "dx", "y", "dy")
     if not open_pairs.isEmpty():
         rest = _overlaps(docs, open_pairs.distinct(), words).where(linked("o"))
-        edges = edges.unionByName(rest.select(F.col("x").alias("u"), F.col("y").alias("v")))
+        edges = edges.unionByName(rest.select(F.col("dx").alias("u"), F.col("dy").alias("v")))
     groups = written(components(edges), "ngram-components")
-    labels = written(
-        classes.select("d1", "d2", "rep")
-        .join(groups, F.col("rep") == F.col("node"), "left")
-        .select("d1", "d2", F.coalesce("component", "rep").alias("label")),
-        "ngram-labels",
-    )
-    in_class = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("label")).otherwise(F.col("doc_id"))
+    labels = classes.select("d1", "d2", "rep").join(groups, F.col("d1") == F.col("node"), "left")
+    labels = labels.select("d1", "d2", "rep", F.coalesce("component", "d1").alias("label"))
+    return sketches, written(labels, "ngram-labels")
+
+
+def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row.
+
+    Two documents link if ``100 * intersection >= percent * union``; the component
+    is the smallest ``doc_id`` reachable by links.
+    """
+    sketches, labels = _labelled(docs, words, percent, join_ids=True)
+    names = labels.groupBy("label").agg(F.min("rep").alias("name"))
+    named = written(labels.join(names, "label").select("d1", "d2", "name"), "ngram-names")
+    in_class = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("name")).otherwise(F.col("doc_id"))
     return (
         sketches.select("doc_id", "n", "d1", "d2")
-        .join(labels, ["d1", "d2"], "left")
+        .join(named, ["d1", "d2"], "left")
         .select("doc_id", F.col("n").alias("n_shingles"), in_class.alias("component_id"))
     )
 
 
 def distinct_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group: that of the smallest ``doc_id``.
+    """``docs`` with one document of each group of linked texts: that of the smallest ``doc_id``.
 
-    Rows without a ``doc_id`` stay; of rows that share one, one stays.
+    Rows without a ``doc_id`` stay, and so do rows without words. Of rows equal in
+    ``doc_id`` and text one stays. Rows that share a ``doc_id`` but not their text are
+    documents of their own: they go only if a text like theirs stays.
     """
-    found = ngram_components(docs, words, percent)
+    sketches, labels = _labelled(docs, words, percent, join_ids=False)
+    rows = sketches.where(F.col("doc_id").isNotNull()).select("doc_id", "text_hash", "n", "d1", "d2")
+    # The first class of each group by id, and of its rows with that id the first by hash.
+    first = labels.groupBy("label").agg(F.min(F.struct("rep", "d1", "d2")).alias("one")).select("one.*")
+    of_first = rows.where(F.col("n") > 0).join(first.withColumnRenamed("rep", "doc_id"), ["doc_id", "d1", "d2"])
+    kept = of_first.groupBy("doc_id", "d1", "d2").agg(F.min("text_hash").alias("text_hash"), F.count(F.lit(1)).alias("times"))
+    wordless = rows.where(F.col("n") == 0).groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"))
+    kept = kept.select("doc_id", "text_hash", "times").unionByName(wordless)
     stay = written(
-        found.where(F.col("doc_id") == F.col("component_id"))
-        .groupBy(F.col("doc_id").alias("stays"))
-        .agg(F.count(F.lit(1)).alias("times")),
-        "ngram-stay",
+        kept.select(F.col("doc_id").alias("stays"), F.col("text_hash").alias("their_hash"), "times"), "ngram-stay"
     )
     theirs = lambda condition: docs.join(
-        stay.where(condition), F.col("doc_id").cast("long") == F.col("stays"), "left_semi"
+        stay.where(condition),
+        (F.col("doc_id").cast("long") == F.col("stays")) & (F.xxhash64("text") == F.col("their_hash")),
+        "left_semi",
     )
     once = theirs(F.col("times") == 1).unionByName(docs.where(F.col("doc_id").isNull()))
     if stay.where(F.col("times") > 1).isEmpty():
         return once
-    return once.unionByName(theirs(F.col("times") > 1).dropDuplicates(["doc_id"]))
+    # Rows equal in id and text: the first by its other columns.
+    first_row = F.min(F.struct(F.xxhash64(*docs.columns).alias("order"), F.struct("*").alias("row")))
+    repeated = theirs(F.col("times") > 1)
+    return once.unionByName(repeated.groupBy("doc_id", "text").agg(first_row.alias("one")).select("one.row.*"))

@@ -12,6 +12,7 @@ import pytest
 import corpus_pipeline
 from tablekit.llm import chat, embedding_dedup, line_dedup, mixing, ngram_join, packing, quality_rules
 from tablekit.llm import token_output, tokens, toxicity, url_filter
+from tablekit.llm.bits import asked_for
 from tablekit.llm.components import components
 from tablekit.llm.oracle import ORACLE
 from tablekit.llm.queries import QUERIES
@@ -96,7 +97,9 @@ def test_awkward_rows(spark, awkward):
     assert found[4, 977] == found[5, 977] == 4 and found[6, 1] == 6 and found[1, 0] == 1 and found[2, 0] == 2
     assert found[7, 1] == 6 and found[None, 0] is None
     kept = ngram_join.distinct_documents(awkward)
-    assert kept.columns == awkward.columns and [r.doc_id for r in kept.collect()].count(5) == 0
+    ids = [r.doc_id for r in kept.collect()]
+    # Of the rows of id 7 one repeats the text of 6; the other is a text of its own.
+    assert kept.columns == awkward.columns and ids.count(5) == 0 and ids.count(7) == 1
     pieces = packing.pack(awkward)
     assert pieces.where("doc_id = 5").count() == 2 * pieces.where("doc_id = 4").count()
     scored = toxicity.score_toxicity(awkward, toxicity.fit([], np.empty(0)))
@@ -212,9 +215,29 @@ def test_signatures_lose_no_link():
 def test_asked_for_keeps_all_that_are_asked(spark):
     rows = spark.range(-50_000, 50_000).withColumnRenamed("id", "doc")
     asked = spark.range(-50_000, 50_000, 7)
-    kept = [r.doc for r in ngram_join._asked_for(rows, "doc", asked).collect()]
+    kept = [r.doc for r in asked_for(rows, "doc", asked).collect()]
     assert len(kept) == len(set(kept)) and set(range(-50_000, 50_000, 7)) <= set(kept) and len(kept) < 14_500
-    assert ngram_join._asked_for(rows, "doc", asked.limit(0)).count() == 0
+    assert asked_for(rows, "doc", asked.limit(0)).count() == 0
+
+
+def test_distinct_documents_lose_no_text(spark):
+    """Rows of one id with different texts, copies under several ids, repeated rows and rows without words."""
+    text = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "wvzy"}
+    rows = [(1, "w"), (1, "v"), (2, "w"), (2, "z"), (3, "v"), (3, "v"), (4, "y"), (4, "y"), (None, "w")]
+    rows = [(i, text[c]) for i, c in rows] + [(5, None), (5, None), (5, ""), (6, None), (7, text["z"] + " more")]
+    docs = spark.createDataFrame([(*r, "stays", 1) for r in rows], "doc_id long, text string, label string, one int")
+    got = sorted(((r.doc_id, r.text) for r in ngram_join.distinct_documents(docs.repartition(4)).collect()), key=str)
+    want = [(1, text["w"]), (1, text["v"]), (2, text["z"]), (4, text["y"]), (None, text["w"]), (5, None), (5, ""), (6, None)]
+    assert got == sorted(want, key=str)
+
+
+def test_rows_left_out_are_those_not_asked_for(spark):
+    rows = spark.createDataFrame([(i,) for i in range(500)] + [(None,)], "n long")
+    asked = spark.createDataFrame([(3 * i,) for i in range(50)] + [(None,)], "k long")
+    found = {r.n for r in asked_for(rows, "n", asked).collect()}
+    rest = [r.n for r in asked_for(rows, "n", asked, found=False).collect()]
+    assert {3 * i for i in range(50)} <= found and sorted([*found, *rest], key=str) == sorted([*range(500), None], key=str)
+    assert asked_for(rows, "n", asked.limit(0)).count() == 0 and asked_for(rows, "n", asked.limit(0), found=False).count() == 501
 
 
 def test_components_of_paths_and_stars(spark):
@@ -223,34 +246,42 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**{i: 100 for i in range(100, 161)}, 7: 7, **{i: 7 for i in range(200, 260)}}
 
 
-def test_ids_are_those_of_the_tokenizer(documents):
+def same_ids(texts, specials_as_text):
+    """Whether the encoder gives what the tokenizers file gives, on which nothing else is set."""
     import public_tokenizers
     import pyarrow as pa
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    texts = [d["text"] or "" for d in documents[:150]] + [tokens.PROBE, "", "a" * 3000]
-    texts += ["".join(map(chr, range(a, a + 500))) for a in range(1, 0xD000, 500)]
+    if specials_as_text:
+        tokenizer.encode_special_tokens = True
     got = []
-    for ids, bounds in tokens.encoder("byte_bpe_50k").encode(pa.array(texts)):
+    for ids, bounds in tokens.encoder("byte_bpe_50k", specials_as_text).encode(pa.array(texts)):
         got += [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(len(bounds) - 1)]
-    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    return got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_ids_of_very_long_white_space():
-    import public_tokenizers
-    import pyarrow as pa
-    from tokenizers import Tokenizer
+@pytest.mark.parametrize("specials_as_text", [False, True])
+def test_ids_are_those_of_the_tokenizer(documents, specials_as_text):
+    end = "<|endoftext|>"
+    texts = [d["text"] or "" for d in documents[:150]] + [tokens.PROBE, "", "a" * 3000]
+    texts += ["".join(map(chr, range(a, a + 500))) for a in range(1, 0xD000, 500)]
+    texts += [end, f"{end} at the start", f"in the {end} middle", f"at the end {end}", f"twice {end}{end} in a row", end[:-1]]
+    assert same_ids(texts, specials_as_text)
 
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+
+@pytest.mark.parametrize("specials_as_text", [False, True])
+def test_ids_of_very_long_white_space(specials_as_text):
     texts = [f"a{c * 1_000_000}b" for c in (" ", "\n", "\u3000")] + [" " * 1_000_000, " \n" * 199_000 + "end", "after"]
     texts += [f"<|endoftext|>{' ' * n}x" for n in (tokens.LONG_RUN - 1, tokens.LONG_RUN)]
-    got = []
-    for ids, bounds in tokens.encoder("byte_bpe_50k").encode(pa.array(texts)):
-        got += [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(len(bounds) - 1)]
-    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    texts += [f"a{' ' * tokens.LONG_RUN}<|endoftext|>{' ' * tokens.LONG_RUN}b"]
+    assert same_ids(texts, specials_as_text)
+
+
+def test_pieces_of_a_text_with_a_special_token(spark):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "a")], "doc_id long, text string")
+    got = {r.doc_id: r.length for r in packing.pack(docs).collect()}
+    assert got == {1: 5, 2: 2}
 
 
 def test_packing_takes_very_long_white_space(spark):
@@ -392,6 +423,24 @@ def test_embedding_links_equal_brute_force(spark):
     assert got[9007].component_id == got[rows[0].vec_id].component_id
 
 
+def test_vectors_with_nulls_have_no_links(spark):
+    """Also where what is left without the null is a usable vector, of the same or another length."""
+    inf = float("inf")
+    rows = [
+        (1, [1.0, 0.5]), (2, [2.0, 1.0]), (3, [None, 1.0, 0.5]), (4, [1.0, None, 0.5]), (5, [1.0, 0.5, None]), (6, [1.0, 0.5]),
+        (7, [1.0, 0.5, 0.0]), (8, [1.0, inf]), (9, None), (10, []), (11, [None, None]), (12, [None, 0.5, 1.0]), (12, [0.5, 1.0]),
+    ]
+    table = spark.createDataFrame(
+        [(*r, 1, "h1", True) for r in rows], "vec_id long, embedding array<double>, n_links int, h1 string, usable boolean"
+    )
+    result = embedding_dedup.link_vectors(table)
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in result.collect())
+    linked = [(1, 2, 1, True), (2, 2, 1, False), (6, 2, 1, False)]
+    alone = [(i, 0, i, True) for i in (3, 4, 5, 7, 8, 9, 10, 11, 12, 12)]
+    assert got == sorted(linked + alone)
+    assert embedding_dedup.link_vectors(table.limit(0)).count() == 0
+
+
 def test_url_rules_and_model(spark):
     urls = {
         "http://a.net": (None, "allow"), "http://a.net/x": ("net/", "block"), "HTTP://WWW.Example.NET/en/1": ("example.net/en/", "allow"),
