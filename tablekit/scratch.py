@@ -51,14 +51,28 @@ def scratch(spark: SparkSession) -> Iterator[str]:
 
     Results built in the block must be saved or collected before it ends.
     """
+    with kept_scratch(spark) as folder:
+        try:
+            yield folder
+        finally:
+            remove(spark, folder)
+
+
+@contextmanager
+def kept_scratch(spark: SparkSession) -> Iterator[str]:
+    """As :func:`scratch`, but the tables stay until the folder it gives is passed to :func:`remove`."""
     folder = f"{shared_folder(spark)}/tablekit/scope-{uuid.uuid4().hex}"
     before = _scope.set(folder)
     try:
         yield folder
     finally:
         _scope.reset(before)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of the shared file system, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
