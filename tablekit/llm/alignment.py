@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.llm.shipping import ship
-from tablekit.llm.tokens import check_ranks, encoder
+from tablekit.llm.tokens import BETWEEN_WORDS, check_ranks, encoder
 from tablekit.scratch import written
 
 VOCABULARY_A = "byte_bpe_50k"
@@ -48,9 +48,6 @@ BLOCK_WORDS = 20_000
 PAIR_BITS = 20
 B_MASK = (1 << PAIR_BITS) - 1
 
-#: A space between two characters of which neither is white space for any of the two.
-BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
-
 
 class Vocabularies:
     """Both tokenizers, the bytes of their tokens, and the array from A to B."""

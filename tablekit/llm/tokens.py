@@ -9,6 +9,10 @@ is planned. Texts that hold a special token's string, and texts with a run of wh
 space so long that tiktoken's pattern gives up, are encoded with the tokenizers file
 itself.
 
+No token goes over a space between two characters that are no white space, so a text's
+ids are those of its words (each with the space before it) one after the other. A word
+met again is not encoded again: its ids are held until too many words are.
+
 Defined cases: a null or empty text has no ids; very long texts are encoded whole.
 """
 
@@ -19,6 +23,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import cache, cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +34,10 @@ ROWS, BLOCK_CHARS = 256, 500_000
 
 #: White-space characters in a row from which on tiktoken is not asked.
 LONG_RUN = 200_000
+#: Characters of a text split at once, and words and characters held at most (by a block more).
+SLICE_CHARS, HELD_WORDS, HELD_CHARS = 1_000_000, 300_000, 20_000_000
+#: A space between two characters that are white space for neither tokenizer.
+BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 _long_run = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")
 
 PROBE = (
@@ -48,6 +57,7 @@ class Encoder:
         with open(file) as described:
             specials = [x["content"] for x in json.load(described).get("added_tokens") or []]
         self.special = re.compile("|".join(map(re.escape, specials))) if specials and not specials_as_text else None
+        self.words: WordIds | None = None
 
     def tokens(self) -> dict[int, bytes]:
         """The bytes of each id, special tokens left out."""
@@ -61,30 +71,129 @@ class Encoder:
         tokenizer.encode_special_tokens = self.specials_as_text
         return tokenizer
 
-    def ids(self, text: str) -> np.ndarray:
+    def apart(self, text: str) -> bool:
+        """Whether only the tokenizers file knows this text's ids."""
         special = self.special is not None and self.special.search(text)
-        if special or (len(text) >= LONG_RUN and _long_run.search(text)):
+        return bool(special) or (len(text) >= LONG_RUN and _long_run.search(text) is not None)
+
+    def ids(self, text: str) -> np.ndarray:
+        if self.apart(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.encoding.encode_to_numpy(text, disallowed_special=())
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Yields ``(ids, bounds)`` for runs of texts in order; text i has ``ids[bounds[i]:bounds[i + 1]]``."""
-        found, chars = [], 0
+        block, chars = [], 0
         for start in range(0, len(texts), ROWS):
             for text in texts.slice(start, ROWS).to_pylist():
-                text = text or ""
-                found.append(self.ids(text))
-                chars += len(text)
+                block.append(text or "")
+                chars += len(block[-1])
                 if chars >= BLOCK_CHARS:
-                    yield self._joined(found)
-                    found, chars = [], 0
-        if found:
-            yield self._joined(found)
-
-    @staticmethod
-    def _joined(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        bounds = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
-        return np.concatenate(found).astype(np.uint32), bounds
+                    yield self._block(block)
+                    block, chars = [], 0
+        if block:
+            yield self._block(block)
+
+    def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.words is None or self.words.full():
+            self.words = WordIds(self)
+        apart = [self.apart(text) for text in texts]
+        ids, sizes = self.words.ids([text for text, alone in zip(texts, apart, strict=True) if not alone])
+        if any(apart):
+            # The few texts that only the file knows go to their places among the others.
+            parts, ends, k, all_sizes = [], np.cumsum(sizes), 0, []
+            for text, alone in zip(texts, apart, strict=True):
+                parts.append(self.ids(text) if alone else ids[ends[k] - sizes[k] : ends[k]])
+                all_sizes.append(len(parts[-1]))
+                k += not alone
+            ids, sizes = np.concatenate(parts), all_sizes
+        return ids.astype(np.uint32), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+class WordIds(dict):
+    """Numbers of words, by the word or, for a text's first one, the word behind a space; and their ids."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+        known = encoder.tokens()
+        self.token_bytes = np.array([len(known.get(i, b"")) for i in range(max(known) + 1)], np.int64)
+        self.chars = 0
+        self.flat = np.empty(0, np.uint32)
+        self.starts = self.sizes = np.empty(0, np.int64)
+        self.odd = np.empty(0, bool)
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+    def full(self) -> bool:
+        return len(self) > HELD_WORDS or self.chars > HELD_CHARS
+
+    def _numbers(self, words: list[str], first: bool) -> np.ndarray:
+        if first:
+            words[0] = " " + words[0]
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts one after the other, and how many each has."""
+        slices, of_text = [], []
+        for i, text in enumerate(texts):
+            start = 0
+            while start < len(text):
+                # A slice of a very long text ends where a word does.
+                cut = BETWEEN_WORDS.search(text, start + SLICE_CHARS) if len(text) - start > SLICE_CHARS else None
+                slices.append((text[start : cut.start()] if cut else text[start:], start == 0))
+                of_text.append(i)
+                start = cut.end() if cut else len(text)
+        numbers = [self._numbers(part.split(" "), first) for part, first in slices]
+        self._learn()
+        for k, (part, first) in enumerate(slices):
+            if self.odd[numbers[k]].any():
+                # White space beside a space: only some of the spaces part words.
+                numbers[k] = self._numbers(BETWEEN_WORDS.split(part), first)
+        self._learn()
+        rows = np.concatenate([np.empty(0, np.int64), *numbers])
+        sizes = self.sizes[rows]
+        ends = np.cumsum(sizes)
+        at = np.arange(int(sizes.sum())) + np.repeat(self.starts[rows] - (ends - sizes), sizes)
+        of_word = np.repeat(np.array(of_text, np.int64), [len(x) for x in numbers])
+        return self.flat[at], np.bincount(of_word, sizes, len(texts)).astype(np.int64)
+
+    def _learn(self) -> None:
+        """Encodes the words met since the last time."""
+        base = len(self.starts)
+        new = list(islice(self, base, None))
+        if not new:
+            return
+        encode = lambda text: self.encoder.encoding.encode_to_numpy(text, disallowed_special=())
+        first = np.array([w[:1] == " " for w in new], bool)
+        ends_odd = np.array([not w or w[-1].isspace() for w in new], bool)
+        odd = ends_odd | np.array([w[:1].isspace() for w in new], bool) & ~first
+        together = ~first & ~odd
+        words = [w for w, plain in zip(new, together.tolist(), strict=True) if plain]
+        sizes, starts = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        parts, at = [self.flat], len(self.flat)
+        if words:
+            # Tokens end with each word, so all of them are encoded as one text.
+            joined = " ".join(words)
+            ids = encode(" " + joined)
+            lengths = map(len, words) if joined.isascii() else (len(w.encode()) for w in words)
+            word_ends = np.cumsum(np.fromiter(lengths, np.int64, len(words)) + 1)
+            ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), word_ends, "right")
+            sizes[together] = np.diff(ends, prepend=0)
+            starts[together] = at + ends - sizes[together]
+            parts.append(ids)
+            at += len(ids)
+        for i in np.flatnonzero(~together).tolist():
+            ids = encode(new[i][1:] if first[i] else " " + new[i])
+            starts[i], sizes[i] = at, len(ids)
+            parts.append(ids)
+            at += len(ids)
+        self.chars += sum(map(len, new))
+        self.flat = np.concatenate(parts)
+        self.starts, self.sizes = np.append(self.starts, starts), np.append(self.sizes, sizes)
+        self.odd = np.append(self.odd, odd)
 
 
 def _new_encoder(name: str, specials_as_text: bool) -> Encoder:
