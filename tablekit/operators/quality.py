@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekit.scratch import written
-
 # Type-name prefixes that count as numeric. Long, short and byte
 # columns ("bigint", "smallint", "tinyint") are left out.
 NUMERIC_PREFIXES = ("int", "double", "float", "decimal")
 
 _PERCENTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+# A sketch is off by at most one such part of the values; so many are sorted at the end of a search.
+SKETCH, SORTED_VALUES = 1_000, 20_000
 
 
 def quoted(name: str) -> str:
@@ -69,8 +71,13 @@ def numeric_summary(
 
     Percentile q is the value at rank ``ceil(q * n)``, exact and the same in every
     run for a table of any length; NaN is the largest value. With ``rank_error``
-    (such as 0.001) percentiles may be off by that share of the rows; they then
-    need no shuffle of the values.
+    (such as 0.001) percentiles may be off by that share of the rows; the table is
+    then read once.
+
+    Exact percentiles are found by bracket search: a sketch of the values gives two
+    values close around each rank, a count of the values below, at, between and above
+    them tells where the rank lies, and the search goes on between them until what is
+    left is few. Only sketches and counts are shuffled, however many values differ.
     """
     names = numeric_columns(df, prefixes)
     if not names:
@@ -82,7 +89,11 @@ def numeric_summary(
     rows = values.agg(*[p.alias(f"p{i}") for i, p in enumerate(profiles)])
     rows = rows.select(F.inline(F.array(*[f"p{i}" for i in range(len(names))])))
     if rank_error is None:
-        rows = rows.join(_exact_percentiles(values, len(names)), on="place", how="left")
+        # One row per column; the ranks follow from the numbers of values.
+        rows = df.sparkSession.createDataFrame(rows.collect(), rows.schema)
+        found = _exact_percentiles(values, [r["n"] for r in rows.orderBy("place").collect()])
+        fields = ", ".join(["place int", *[f"{p} double" for p in _PERCENTILES]])
+        rows = rows.join(F.broadcast(df.sparkSession.createDataFrame(found, fields)), on="place", how="left")
     return rows.select("column", "n", "mean", "stddev", "min", *_PERCENTILES, "max")
 
 
@@ -104,43 +115,88 @@ def _profile(name: str, place: int, rank_error: float | None) -> Column:
     return F.struct(*fields)
 
 
-def _exact_percentiles(values: DataFrame, columns: int) -> DataFrame:
+@dataclass
+class _Bracket:
+    """The open interval that holds one rank: values of a column above ``low`` and below ``high``."""
+
+    place: int
+    name: str
+    rank: int  # among all values of the column, from 1
+    inside: int  # values in the interval
+    below: int = 0  # values up to ``low``
+    low: float | None = None
+    high: float | None = None
+    found: float | None = None
+
+    def values(self) -> Column:
+        """The column's values inside, NULL elsewhere."""
+        value, within = F.col(f"v{self.place}"), F.col(f"v{self.place}").isNotNull()
+        if self.low is not None:
+            within &= value > F.lit(self.low)
+        if self.high is not None:
+            within &= value < F.lit(self.high)
+        return F.when(within, value)
+
+    def sketch(self) -> Column:
+        """Two values around the rank, each off by at most ``1 / SKETCH`` of those inside."""
+        share = (self.rank - self.below) / self.inside
+        shares = [max(0.0, share - 2 / SKETCH), min(1.0, share + 2 / SKETCH)]
+        return F.percentile_approx(self.values(), shares, F.lit(SKETCH))
+
+    def counts(self, a: float, b: float) -> list[Column]:
+        """Values inside below ``a``, at ``a``, between, and at ``b``."""
+        value = self.values()
+        conditions = [value < F.lit(a), value == F.lit(a), (value > F.lit(a)) & (value < F.lit(b))]
+        conditions.append((value == F.lit(b)) & (F.lit(a) < F.lit(b)))
+        return [F.count_if(F.coalesce(c, F.lit(False))) for c in conditions]
+
+    def narrow(self, a: float, b: float, counts: Sequence[int]) -> None:
+        """Goes on in the part that holds the rank, or ends at ``a`` or ``b``."""
+        less, at_a, between, at_b = counts
+        rank = self.rank - self.below
+        if rank <= less:
+            self.high, self.inside = a, less
+        elif rank <= less + at_a:
+            self.found = a
+        elif rank <= less + at_a + between:
+            self.below, self.low, self.high, self.inside = self.below + less + at_a, a, b, between
+        elif rank <= less + at_a + between + at_b:
+            self.found = b
+        else:
+            passed = less + at_a + between + at_b
+            self.below, self.low, self.inside = self.below + passed, b, self.inside - passed
+
+
+def _exact_percentiles(values: DataFrame, counts: Sequence[int]) -> list[tuple]:
     """``(place, p25, p50, p75)`` of the columns that hold a value.
 
-    Every different value of a column is one row with its count, in value ranges
-    written once. Rows before a range come from the totals per range; only the
-    ranges that hold a percentile are sorted and counted through.
+    Each round reads the table twice, for sketches and for counts, and leaves at
+    most a few thousandths of the values in a bracket; values at the ends of a
+    bracket are counted apart, so one that many rows share ends the search.
     """
-    entries = values.select(
-        F.posexplode(F.array(*[f"v{i}" for i in range(columns)])).alias("place", "value")
-    ).filter(F.col("value").isNotNull())
-    counted = entries.groupBy("place", "value").agg(F.count("*").alias("times"))
-    ranges = counted.repartitionByRange("place", "value")
-    counted = written(ranges.withColumn("range", F.spark_partition_id()), "value-counts")
-
-    # One row per column and range.
-    totals = counted.groupBy("place", "range").agg(F.sum("times").alias("held"))
-    in_order = Window.partitionBy("place").orderBy("range")
-    totals = totals.select(
-        "place",
-        "range",
-        "held",
-        (F.sum("held").over(in_order) - F.col("held")).alias("before"),
-        F.sum("held").over(Window.partitionBy("place")).alias("n"),
-    )
-    asked = F.explode(
-        F.array(*[F.struct(F.lit(p).alias("name"), F.lit(q).alias("q")) for p, q in _PERCENTILES.items()])
-    )
-    wanted = totals.withColumn("asked", asked).select(
-        "place", "range", "held", "before", "asked.name", F.ceil(F.col("asked.q") * F.col("n")).alias("rank")
-    )
-    rank = F.col("rank")
-    wanted = wanted.filter((F.col("before") < rank) & (rank <= F.col("before") + F.col("held")))
-
-    through = Window.partitionBy("place", "name").orderBy("value")
-    reached = F.col("before") + F.sum("times").over(through)
-    found = counted.join(wanted.drop("held"), on=["place", "range"])
-    found = found.withColumn("reached", reached).filter(F.col("reached") >= rank)
-    return found.groupBy("place").agg(
-        *[F.min(F.when(F.col("name") == p, F.col("value"))).alias(p) for p in _PERCENTILES]
-    )
+    brackets = [
+        _Bracket(place, name, ceil(q * n), n)
+        for place, n in enumerate(counts)
+        if n
+        for name, q in _PERCENTILES.items()
+    ]
+    while wide := [b for b in brackets if b.found is None and b.inside > SORTED_VALUES]:
+        ends = values.agg(*[b.sketch().alias(f"b{i}") for i, b in enumerate(wide)]).first()
+        asked = [c.alias(f"c{i}_{k}") for i, b in enumerate(wide) for k, c in enumerate(b.counts(*ends[i]))]
+        told = values.agg(*asked).first()
+        for i, b in enumerate(wide):
+            b.narrow(*ends[i], told[4 * i : 4 * i + 4])
+    if narrow := [b for b in brackets if b.found is None]:
+        # At most SORTED_VALUES rows per bracket are left to be ranked.
+        left = F.array(*[F.struct(F.lit(i).alias("bracket"), b.values().alias("value")) for i, b in enumerate(narrow)])
+        entries = values.select(F.inline(F.filter(left, lambda x: x["value"].isNotNull())))
+        times = entries.groupBy("bracket", "value").agg(F.count("*").alias("times"))
+        through = Window.partitionBy("bracket").orderBy("value")
+        rank = F.element_at(F.array(*[F.lit(b.rank - b.below) for b in narrow]), F.col("bracket") + 1)
+        reached = times.withColumn("reached", F.sum("times").over(through)).filter(F.col("reached") >= rank)
+        for row in reached.groupBy("bracket").agg(F.min("value").alias("value")).collect():
+            narrow[row["bracket"]].found = row["value"]
+    by_place: dict[int, dict[str, float]] = {}
+    for b in brackets:
+        by_place.setdefault(b.place, {})[b.name] = b.found
+    return [(place, *[found[p] for p in _PERCENTILES]) for place, found in by_place.items()]

@@ -1,6 +1,7 @@
 """Operators on hand-made tables."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,35 @@ def test_numeric_summary_of_infinite_values_and_nan(spark):
     assert nan.p25 == 1.0 and nan.p50 == 2.0 and math.isnan(nan.p75) and math.isnan(nan["max"])
 
 
+@pytest.mark.parametrize("sorted_values, sketch", [(0, 10), (3, 10), (200, 1_000)])
+def test_percentiles_by_narrow_brackets(spark, monkeypatch, sorted_values, sketch):
+    """Few values sorted at the end, and a coarse sketch: the search goes on until each rank is found."""
+    monkeypatch.setattr(quality, "SORTED_VALUES", sorted_values)
+    monkeypatch.setattr(quality, "SKETCH", sketch)
+    pick = random.Random(5)
+    values = [pick.choice([-1e308, -0.0, 0.0, 1e-300, 5.0, 5.0, 7.0, pick.gauss(0, 1), pick.gauss(1e9, 1), math.inf]) for _ in range(2_999)]
+    skewed = [math.exp(pick.gauss(0, 40)) for _ in values]
+    rows = [(v, w, 3.0 if i % 3 else float(i), None if i % 7 else v) for i, (v, w) in enumerate(zip(values, skewed, strict=True))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    got = {r["column"]: [r.p25, r.p50, r.p75] for r in quality.numeric_summary(df).collect()}
+    for i, name in enumerate("abcd"):
+        known = sorted(r[i] for r in rows if r[i] is not None)
+        assert got[name] == [known[math.ceil(q * len(known)) - 1] for q in (0.25, 0.5, 0.75)]
+
+
+def test_percentiles_shuffle_no_values(spark):
+    """Ten times as many different values; sketches, counts and the few values sorted keep their bound."""
+    moved = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    shuffled = []
+    for n in (1_000_000, 10_000_000):
+        df = spark.range(0, n, 1, 8).select((F.hash("id") / 7.0).alias("v"))
+        before = moved()
+        row = quality.numeric_summary(df).first()
+        assert row.n == n and row.p25 < row.p50 < row.p75
+        shuffled.append(moved() - before)
+    assert max(shuffled) < 3 * quality.SORTED_VALUES * 24 + 500_000
+
+
 # ------------------------------------------------------------ aggregates
 
 
