@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tablekit.operators.aggregate import distinct_by, grouped_counts, with_share
 from tablekit.scratch import written
 
-# A basket with more rows than this is cut into blocks of about as many items.
+# Items in a block: a cell of a basket's grid pairs one block with one block.
 BLOCK_ITEMS = 2000
 
 
@@ -60,86 +60,63 @@ def bottom_items_pct(baskets: DataFrame, n: int) -> DataFrame:
     return item_percentages(baskets).orderBy(F.asc("count"), "item").limit(n)
 
 
-def _multiplicities(baskets: DataFrame) -> DataFrame:
-    return baskets.groupBy("basket_id", "item").agg(F.count("*").alias("m"))
+def _counted(baskets: DataFrame) -> DataFrame:
+    """``(basket_id, item, m)``; a missing item pairs with nothing.
 
-
-def _spread_multiplicities(baskets: DataFrame) -> DataFrame:
-    """The same for rows that may come out of a join by basket.
-
-    Grouping by two columns would keep that join's partitioning and with it a
-    large basket in one task. A single grouping value needs its own shuffle, so
-    the join may be split and repeated items are counted before they move.
+    Grouping by two columns would keep the partitioning of a join by basket the rows may
+    come out of, and with it a large basket in one task. A single grouping value needs
+    its own shuffle, so that join may be split and repeated items are counted before they
+    move.
     """
-    entries = baskets.groupBy(F.struct("basket_id", "item").alias("entry"))
+    present = F.col("basket_id").isNotNull() & F.col("item").isNotNull()
+    entries = baskets.filter(present).groupBy(F.struct("basket_id", "item").alias("entry"))
     return entries.agg(F.count("*").alias("m")).select("entry.basket_id", "entry.item", "m")
 
 
-def _items_by_size(baskets: DataFrame, block_items: int) -> tuple[DataFrame, DataFrame | None]:
-    """Multiplicities of the ordinary and, if there are any, of the large baskets.
+def _placed(baskets: DataFrame, block_items: int) -> DataFrame:
+    """``(basket_id, item, m, block, blocks)`` of all baskets.
 
-    Ordinary baskets have at most ``block_items`` rows and are shuffled whole,
-    once, by basket. The rows of large ones are counted before they leave their
-    task. A missing item pairs with nothing.
+    A basket's items are hashed into as many blocks as its size asks for, one for
+    ordinary baskets. The input is read once: both sides of the join take the counted
+    items from one shuffle, as both ask for the counts.
     """
-    present = F.col("basket_id").isNotNull() & F.col("item").isNotNull()
-    baskets = baskets.select("basket_id", "item").filter(present)
-    sizes = baskets.groupBy("basket_id").agg(F.count("*").alias("n"))
-    large: DataFrame | None = None
-    if (sizes.agg(F.max("n")).first()[0] or 0) > block_items:
-        ids = written(sizes.filter(F.col("n") > block_items).select("basket_id"), "large-ids")
-        large = written(
-            _spread_multiplicities(baskets.join(ids, "basket_id", "left_semi")), "large-baskets"
-        )
-        baskets = baskets.join(ids, "basket_id", "left_anti")
-    return _multiplicities(baskets.repartition("basket_id")), large
-
-
-def _ordinary_pairs(items: DataFrame) -> DataFrame:
-    pairs = items.alias("x").join(items.alias("y"), on="basket_id")
-    return pairs.filter(F.col("x.item") < F.col("y.item")).select(
-        "basket_id",
-        F.col("x.item").alias("item1"),
-        F.col("y.item").alias("item2"),
-        (F.col("x.m") * F.col("y.m")).alias("times"),
-    )
+    counted = _counted(baskets)
+    n_items = F.sum((F.col("m") > 0).cast("int"))
+    sizes = counted.groupBy("basket_id").agg(F.ceil(n_items / F.lit(block_items)).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
+    return counted.join(sizes, on="basket_id").withColumn("block", block)
+
 
+def _table(baskets: DataFrame, block_items: int) -> DataFrame:
+    """The placed items, written once for all that is paired."""
+    return written(_placed(baskets, block_items), "basket-table")
 
-def _block_pairs(items: DataFrame, block_items: int) -> DataFrame:
-    """Pairs of large baskets, each basket spread over a grid of tasks.
 
-    The items of a basket are hashed into blocks; cell (i, j) of the grid, with
-    i <= j, pairs block i with block j. No cell holds more than about two blocks
-    of items, and every pair meets in exactly one cell.
+def _unordered(table: DataFrame) -> DataFrame:
+    """``(basket_id, item1 < item2, times)``, each basket spread over a grid of cells.
+
+    Cell (i, j) of a basket's grid, with i <= j, pairs block i with block j; the grid of
+    an ordinary basket is one cell. An item goes to every cell of its block, once, and
+    the cells are joined with themselves over that one shuffle. No cell holds more than
+    about two blocks of items, and every pair counts in exactly one cell.
     """
-    n_blocks = F.ceil(F.count("*") / F.lit(block_items)).cast("int").alias("blocks")
-    blocks = written(items.groupBy("basket_id").agg(n_blocks), "large-blocks")
-    placed = items.join(blocks, on="basket_id").withColumn(
-        "block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cells = table.withColumn("other", other).select(
+        "basket_id", "item", "m", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
-    later = F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))
-    earlier = F.explode(F.sequence(F.lit(0), F.col("block")))
-    left = placed.select("basket_id", "item", "m", F.col("block").alias("i"), later.alias("j"))
-    right = placed.select("basket_id", "item", "m", earlier.alias("i"), F.col("block").alias("j"))
-    pairs = left.alias("x").join(right.alias("y"), on=["basket_id", "i", "j"])
-    once = (F.col("i") < F.col("j")) | (F.col("x.item") < F.col("y.item"))
-    return pairs.filter(once).select(
+    pairs = cells.alias("x").join(cells.alias("y"), on=["basket_id", "i", "j"])
+    once = (F.col("i") == F.col("j")) | (F.col("x.block") != F.col("y.block"))
+    return pairs.filter(once & (F.col("x.item") < F.col("y.item"))).select(
         "basket_id",
-        F.least("x.item", "y.item").alias("item1"),
-        F.greatest("x.item", "y.item").alias("item2"),
+        F.col("x.item").alias("item1"),
+        F.col("y.item").alias("item2"),
         (F.col("x.m") * F.col("y.m")).alias("times"),
     )
 
 
-def _unordered(ordinary: DataFrame, large: DataFrame | None, block_items: int) -> DataFrame:
-    pairs = _ordinary_pairs(ordinary)
-    return pairs if large is None else pairs.unionByName(_block_pairs(large, block_items))
-
-
-def _repeats(ordinary: DataFrame, large: DataFrame | None) -> DataFrame:
+def _repeats(table: DataFrame) -> DataFrame:
     """Pairs of an item with itself; they need no join."""
-    items = ordinary if large is None else ordinary.unionByName(large)
-    return items.filter(F.col("m") > 1).select(
+    return table.filter(F.col("m") > 1).select(
         "basket_id",
         F.col("item").alias("item1"),
         F.col("item").alias("item2"),
@@ -158,14 +135,13 @@ def _both_orders(pairs: DataFrame) -> DataFrame:
 
 def pair_combinations(baskets: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Unordered pairs ``(basket_id, item1 < item2, times)``; an item never meets itself."""
-    return _unordered(*_items_by_size(baskets, block_items), block_items)
+    return _unordered(_table(baskets, block_items))
 
 
 def pair_permutations(baskets: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Ordered pairs ``(basket_id, item1, item2, times)``, an item with its repeats included."""
-    ordinary, large = _items_by_size(baskets, block_items)
-    pairs = _both_orders(_unordered(ordinary, large, block_items))
-    return pairs.unionByName(_repeats(ordinary, large))
+    table = _table(baskets, block_items)
+    return _both_orders(_unordered(table)).unionByName(_repeats(table))
 
 
 def ordered_pair_counts(baskets: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
@@ -174,9 +150,8 @@ def ordered_pair_counts(baskets: DataFrame, block_items: int = BLOCK_ITEMS) -> D
     Only unordered pairs are joined and counted; both orders of a pair have the
     same count.
     """
-    ordinary, large = _items_by_size(baskets, block_items)
-    counts = _both_orders(pair_counts(_unordered(ordinary, large, block_items)))
-    return counts.unionByName(pair_counts(_repeats(ordinary, large)))
+    table = _table(baskets, block_items)
+    return _both_orders(pair_counts(_unordered(table))).unionByName(pair_counts(_repeats(table)))
 
 
 def pair_baskets(pairs: DataFrame, ids_per_row: int = 100_000) -> DataFrame:

@@ -86,22 +86,33 @@ def test_share_of_total_counts_once(spark):
     assert "ReusedExchange" in executed_plan(QUERIES["percentage_by"](spark, FOLDER))
 
 
-def test_ordinary_baskets_are_shuffled_once(spark):
+def test_baskets_are_read_once(spark):
+    rows = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    rows = rows.select(F.col("l_orderkey").alias("basket_id"), F.col("l_partkey").alias("item"))
+    for threshold in ("-1", "10m"):
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold=threshold):
+            plan = executed_plan(basket._placed(rows, 2000))
+        assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+
+
+def test_baskets_are_shuffled_once_for_pairing(spark):
+    """All baskets take one path: the table of counted items joined with itself, cell by cell."""
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         rows = spark.range(4000).select(
             (F.col("id") % 900).alias("basket_id"), (F.col("id") % 7).cast("string").alias("item")
         )
         plan = executed_plan(basket.pair_counts(basket.pair_combinations(rows)))
     assert plan.count("ReusedExchange") == 1
-    # one by basket, one by item pair
+    # one by cell, one by item pair
     assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 2
 
 
 def test_both_orders_use_the_same_shuffle(spark):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         plan = executed_plan(QUERIES["pair_counts_ordered"](spark, FOLDER))
-    assert plan.count("ReusedExchange") == 2
-    assert plan.count("REPARTITION_BY_COL") == 3  # the shuffle and both reuses of it
+    # Both sides of the pairs take one shuffle of the written table; repeats only scan it.
+    assert plan.count("ReusedExchange") == 1
+    assert plan.count("FileScan parquet") == 2
 
 
 def hot_ratings(spark):
@@ -169,7 +180,7 @@ def test_hot_basket_is_split_before_it_is_counted(spark, keep_partitions):
     ids = spark.range(1, 2).select(F.col("id").alias("basket_id"))
     with everything_is_large(spark):
         large = rows.join(ids, "basket_id", "left_semi")
-        counted = basket._spread_multiplicities(large)
+        counted = basket._counted(large)
         plan = executed_plan(counted)
         assert "skew=true" in plan
         assert plan.index("SortMergeJoin") > plan.index("partial_count")
