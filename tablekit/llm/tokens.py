@@ -35,7 +35,7 @@ ROWS, BLOCK_CHARS = 256, 500_000
 #: White-space characters in a row from which on tiktoken is not asked.
 LONG_RUN = 200_000
 #: Characters of a text split at once, and words and characters held at most (by a block more).
-SLICE_CHARS, HELD_WORDS, HELD_CHARS = 1_000_000, 300_000, 20_000_000
+SLICE_CHARS, HELD_WORDS, HELD_CHARS = 1_000_000, 600_000, 20_000_000
 #: A space between two characters that are white space for neither tokenizer.
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 _long_run = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")
@@ -83,20 +83,37 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Yields ``(ids, bounds)`` for runs of texts in order; text i has ``ids[bounds[i]:bounds[i + 1]]``."""
+        yield from map(self._block, self._blocks(texts))
+
+    def count(self, texts: pa.Array) -> int:
+        """The number of ids of all texts."""
+        total = 0
+        for block in self._blocks(texts):
+            apart = [text for text in block if self.apart(text)]
+            rows = self.words.rows([text for text in block if not self.apart(text)] if apart else block)
+            total += int(self.words.sizes[np.concatenate(rows)].sum()) if rows else 0
+            total += sum(len(self.ids(text)) for text in apart)
+        return total
+
+    def _blocks(self, texts: pa.Array) -> Iterator[list[str]]:
         block, chars = [], 0
         for start in range(0, len(texts), ROWS):
             for text in texts.slice(start, ROWS).to_pylist():
                 block.append(text or "")
                 chars += len(block[-1])
                 if chars >= BLOCK_CHARS:
-                    yield self._block(block)
+                    self._make_room()
+                    yield block
                     block, chars = [], 0
         if block:
-            yield self._block(block)
+            self._make_room()
+            yield block
 
-    def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _make_room(self) -> None:
         if self.words is None or self.words.full():
             self.words = WordIds(self)
+
+    def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         apart = [self.apart(text) for text in texts]
         ids, sizes = self.words.ids([text for text, alone in zip(texts, apart, strict=True) if not alone])
         if any(apart):
@@ -135,8 +152,8 @@ class WordIds(dict):
             words[0] = " " + words[0]
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the texts one after the other, and how many each has."""
+    def rows(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of the words of each text, all learned."""
         slices, of_text = [], []
         for i, text in enumerate(texts):
             start = 0
@@ -153,12 +170,20 @@ class WordIds(dict):
                 # White space beside a space: only some of the spaces part words.
                 numbers[k] = self._numbers(BETWEEN_WORDS.split(part), first)
         self._learn()
-        rows = np.concatenate([np.empty(0, np.int64), *numbers])
+        out = [np.empty(0, np.int64)] * len(texts)
+        for i, found in zip(of_text, numbers, strict=True):
+            out[i] = np.concatenate([out[i], found]) if len(out[i]) else found
+        return out
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts one after the other, and how many each has."""
+        of_texts = self.rows(texts)
+        rows = np.concatenate([np.empty(0, np.int64), *of_texts])
         sizes = self.sizes[rows]
         ends = np.cumsum(sizes)
         at = np.arange(int(sizes.sum())) + np.repeat(self.starts[rows] - (ends - sizes), sizes)
-        of_word = np.repeat(np.array(of_text, np.int64), [len(x) for x in numbers])
-        return self.flat[at], np.bincount(of_word, sizes, len(texts)).astype(np.int64)
+        text_ends = np.cumsum([len(x) for x in of_texts], dtype=np.int64)
+        return self.flat[at], np.diff(np.concatenate([[0], ends])[text_ends], prepend=0)
 
     def _learn(self) -> None:
         """Encodes the words met since the last time."""

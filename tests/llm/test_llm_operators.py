@@ -258,6 +258,7 @@ def same_ids(texts, specials_as_text):
     got = []
     for ids, bounds in tokens.encoder("byte_bpe_50k", specials_as_text).encode(pa.array(texts)):
         got += [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(len(bounds) - 1)]
+    assert tokens.encoder("byte_bpe_50k", specials_as_text).count(pa.array(texts)) == sum(map(len, got))
     return got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
