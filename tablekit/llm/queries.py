@@ -42,8 +42,9 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_token_output(spark: SparkSession, folder: str) -> DataFrame:
     """Writes all documents as shards, reads every record back and gives its place and digest."""
-    about = write_shards(read_table(spark, folder, "documents"), new_path(spark, "token-shards"))
-    digests = record_digests(read_records(spark, about))
+    path = new_path(spark, "token-shards")
+    about = write_shards(read_table(spark, folder, "documents"), path)
+    digests = record_digests(read_records(spark, path))
     size = about["shard_records"]
     return digests.select(
         "slot",

@@ -8,36 +8,44 @@ finds slot s in shard ``s // shard_records`` at byte
 ``s % shard_records * record_bytes`` and can resume anywhere.
 
 A record is the sequence's ids, little-endian, 2 bytes each (4 for larger
-vocabularies), and one newline: Spark's text writer writes such records through
-any file system it knows, and its committer makes lost tasks harmless.
-
-The stream's order is that of the scan. Where each task begins follows from the
-token counts of the tasks before it, one number per input task (some hundred
-megabytes of text each). The documents are read twice by the same scan, and a task
-that does not find the counts of the first reading fails rather than write.
-
-Defined cases: a null text is empty, just the end id; repeated rows are written each; extra columns are left out; an
-empty table gives no shard and an empty result.
+vocabularies), one zero byte and one newline, so its length is even: Spark's text
+writer writes such records through any file system it knows, and its committer makes
+lost tasks harmless. ``manifest`` next to the shards has all that a reader must know.
+
+Documents are tokenised once. Their ids are written as compressed blocks, numbered
+within their input task; a block's place in the stream follows from the sizes of the
+blocks and tasks before it, the number of sequences from the sum. Blocks are then cut,
+the parts that go to one shard travel together, compressed again, and a shard is
+put together in one array of its fixed size. The blocks are removed at the end.
+
+Defined cases: a null text is empty, just the end id; repeated rows are written each;
+very long texts fill many blocks; extra columns are left out; an empty table gives no
+shard and an empty result.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm.packing import END_ID, SEQUENCE_LENGTH, VOCABULARY, with_end
 from tablekit.llm.shipping import ship
 from tablekit.llm.tokens import check_ranks, encoder
+from tablekit.scratch import scratch, written
 
 SHARD_RECORDS = 8_192
 ROUNDS = 6
 KEY = 20_240_229
+#: Ids of a block, and how hard blocks and the parts of a shard are compressed.
+BLOCK_IDS, BLOCK_LEVEL, PART_LEVEL = 1 << 20, 6, 3
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -78,6 +86,51 @@ class SlotOrder:
         return self._walk(slots, True)
 
 
+def _token_blocks(docs: DataFrame, vocabulary: str, end_id: int, kind: str) -> DataFrame:
+    """``(task, block, n_ids, ids)``: the stream in compressed blocks, in order within each input task."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId(), 0
+        packer = zstandard.ZstdCompressor(level=BLOCK_LEVEL)
+        held, size = [], 0
+
+        def block():
+            ids = np.concatenate(held)
+            columns = [[task], [number], [len(ids)], [packer.compress(ids.tobytes())]]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["task", "block", "n_ids", "ids"]
+            )
+
+        for batch in batches:
+            for ids, bounds in encoder(vocabulary).encode(batch.column("text")):
+                held.append(with_end(ids, bounds, end_id)[0].astype(kind))
+                size += len(held[-1])
+                if size >= BLOCK_IDS:
+                    yield block()
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield block()
+
+    return docs.select("text").mapInArrow(encode, "task long, block long, n_ids long, ids binary")
+
+
+def _placed(blocks: DataFrame) -> DataFrame:
+    """The blocks with the place of their first id in the stream, ``at``."""
+    before = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row per input task.
+    tasks = blocks.groupBy("task").agg(F.sum("n_ids").alias("n_ids"))
+    tasks = written(tasks.select(F.col("task").alias("of_task"), before(Window.orderBy("task")).alias("task_at")), "token-tasks")
+    sizes = blocks.select("task", "block", before(Window.partitionBy("task").orderBy("block")).alias("block_at"))
+    places = written(
+        sizes.join(tasks, F.col("task") == F.col("of_task")).select(
+            "task", "block", (F.col("task_at") + F.col("block_at")).alias("at")
+        ),
+        "token-places",
+    )
+    return blocks.join(places, ["task", "block"]).select("at", "ids")
+
+
 def write_shards(
     docs: DataFrame,
     path: str,
@@ -88,87 +141,99 @@ def write_shards(
     key: int = KEY,
     id_bytes: int = 2,
 ) -> dict:
-    """Writes ``path/shards``; returns what a reader must know.
-
-    ``docs`` must be a scan of a stored table, so that both readings see the same
-    tasks.
-    """
-    ship(docs.sparkSession)
+    """Writes ``path/shards`` and ``path/manifest``; returns what the manifest says."""
+    spark = docs.sparkSession
+    ship(spark)
     check_ranks(vocabulary)
-    kind = f"<u{id_bytes}"
-    scan = docs.select("text")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = tokens = 0
-        for batch in batches:
-            rows += batch.num_rows
-            tokens += encoder(vocabulary).count(batch.column("text")) + batch.num_rows
-        task = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_pydict({"task": [task], "n_rows": [rows], "tokens": [tokens]})
-
-    counted = sorted(scan.mapInArrow(count, "task long, n_rows long, tokens long").collect())
-    begins, total = {}, 0
-    for task, rows, tokens in counted:
-        begins[task] = (total, rows, tokens)
-        total += tokens
-    n = -(-total // sequence_length)
-    about = {
-        "path": path, "sequences": n, "tokens": total, "sequence_length": sequence_length,
-        "shard_records": shard_records, "key": key, "id_bytes": id_bytes,
-    }
-    order = SlotOrder(n, key)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin, rows, tokens = begins.get(TaskContext.get().partitionId(), (0, 0, 0))
-        at, seen = begin, 0
-        for batch in batches:
-            for ids, bounds in encoder(vocabulary).encode(batch.column("text")):
-                ids, _ = with_end(ids, bounds, end_id)
-                edges = np.arange(-(-at // sequence_length) * sequence_length - at, len(ids), sequence_length)
-                starts = np.unique(np.append(edges, 0))
-                length = np.diff(np.append(starts, len(ids)))
-                raw, size = ids.astype(kind).tobytes(), id_bytes
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(order.slots((at + starts) // sequence_length)),
-                        pa.array(((at + starts) % sequence_length).astype(np.int32)),
-                        pa.array([raw[a * size : (a + m) * size] for a, m in zip(starts.tolist(), length.tolist(), strict=True)], pa.binary()),
-                    ],
-                    ["slot", "offset", "ids"],
-                )
-                at += len(ids)
-            seen += batch.num_rows
-        if (seen, at - begin) != (rows, tokens):
-            raise ValueError("the documents were not the same when read again")
-
-    fragments = scan.mapInArrow(
-        cut, "slot long, offset int, ids binary"
-    ).withColumn("shard", F.expr(f"slot div {shard_records}"))
-    stride = sequence_length * id_bytes
-    # All of a shard meets in one task, so grouping its records needs no further shuffle.
-    records = (
-        fragments.repartition("shard")
-        .groupBy("shard", "slot")
-        .agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
-        .withColumn("record", F.aggregate("parts", F.lit(b""), lambda done, part: F.concat(done, part["ids"])))
-        .withColumn("record", F.rpad("record", F.lit(stride), F.lit(b"\0")))
-    )
-    (
-        records.sortWithinPartitions("shard", "slot")
-        .select("shard", F.col("record").cast("string").alias("value"))
-        .write.partitionBy("shard")
-        .option("lineSep", "\n")
-        .text(f"{path}/shards")
-    )
+    kind, stride = f"<u{id_bytes}", sequence_length * id_bytes
+    with scratch(spark):
+        blocks = written(_token_blocks(docs, vocabulary, end_id, kind), "token-blocks")
+        total = blocks.agg(F.coalesce(F.sum("n_ids"), F.lit(0))).first()[0]
+        n = -(-total // sequence_length)
+        about = {
+            "sequences": n, "tokens": total, "sequence_length": sequence_length, "shard_records": shard_records,
+            "key": key, "id_bytes": id_bytes, "record_bytes": stride + 2, "vocabulary": vocabulary, "end_id": end_id,
+        }
+        order = SlotOrder(n, key)
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            packer, unpacker = zstandard.ZstdCompressor(level=PART_LEVEL), zstandard.ZstdDecompressor()
+            for batch in batches:
+                for at, data in zip(batch.column("at").to_pylist(), batch.column("ids"), strict=True):
+                    ids = np.frombuffer(unpacker.decompress(data.as_buffer()), kind)
+                    edges = np.arange(-(-at // sequence_length) * sequence_length - at, len(ids), sequence_length)
+                    starts = np.unique(np.append(edges, 0))
+                    sizes = np.diff(np.append(starts, len(ids)))
+                    slots, offsets = order.slots((at + starts) // sequence_length), (at + starts) % sequence_length
+                    by_slot = np.argsort(slots, kind="stable")
+                    shards, first = np.unique(slots[by_slot] // shard_records, return_index=True)
+                    parts = np.split(by_slot, first[1:])
+                    longs = pa.list_(pa.int64())
+                    raw = [np.concatenate([ids[starts[i] : starts[i] + sizes[i]] for i in p.tolist()]).tobytes() for p in parts]
+                    columns = [
+                        pa.array(shards),
+                        *[pa.array([x[p] for p in parts], longs) for x in (slots, offsets, sizes)],
+                        pa.array(list(map(packer.compress, raw)), pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["shard", "slots", "offsets", "sizes", "ids"])
+
+        def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            unpacker = zstandard.ZstdDecompressor()
+            current, records = None, None
+
+            def rows():
+                first = current * shard_records
+                held = min(shard_records, n - first)
+                raw = records[:held].tobytes()
+                values = [raw[k * stride : (k + 1) * stride] + b"\0" for k in range(held)]
+                for start in range(0, held, 1_000):
+                    some = values[start : start + 1_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([current] * len(some), pa.int64()), pa.array(some, pa.binary())], ["shard", "value"]
+                    )
+
+            for batch in batches:
+                columns = [batch.column(c).to_pylist() for c in ("shard", "slots", "offsets", "sizes")]
+                for shard, slots, offsets, sizes, data in zip(*columns, batch.column("ids"), strict=True):
+                    if shard != current:
+                        if current is not None:
+                            yield from rows()
+                        current, records = shard, np.zeros((shard_records, sequence_length), kind)
+                    ids, start = np.frombuffer(unpacker.decompress(data.as_buffer()), kind), 0
+                    for slot, offset, size in zip(slots, offsets, sizes, strict=True):
+                        records[slot - shard * shard_records, offset : offset + size] = ids[start : start + size]
+                        start += size
+            if current is not None:
+                yield from rows()
+
+        longs = ", ".join(f"{c} array<long>" for c in ("slots", "offsets", "sizes"))
+        parts = _placed(blocks).mapInArrow(cut, f"shard long, {longs}, ids binary")
+        (
+            parts.repartition("shard")
+            .sortWithinPartitions("shard")
+            .mapInArrow(assemble, "shard long, value binary")
+            .select("shard", F.col("value").cast("string").alias("value"))
+            .write.partitionBy("shard")
+            .option("lineSep", "\n")
+            .text(f"{path}/shards")
+        )
+        # Last, so shards with a manifest are whole.
+        spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{path}/manifest")
     return about
 
 
-def read_records(spark: SparkSession, about: dict, first_slot: int = 0, last_slot: int | None = None) -> DataFrame:
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    """What a reader of ``path/shards`` must know."""
+    return json.loads(spark.read.text(f"{path}/manifest").first().value)
+
+
+def read_records(spark: SparkSession, path: str, first_slot: int = 0, last_slot: int | None = None) -> DataFrame:
     """``slot``, ``sequence`` and ``ids`` of the slots asked for, read from the shards that hold them."""
+    about = read_manifest(spark, path)
     n, records, length = about["sequences"], about["shard_records"], about["sequence_length"]
     last = n - 1 if last_slot is None else min(last_slot, n - 1)
     id_bytes, total, order = about["id_bytes"], about["tokens"], SlotOrder(n, about["key"])
-    stride = length * id_bytes + 1
+    stride = about["record_bytes"]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +256,7 @@ def read_records(spark: SparkSession, about: dict, first_slot: int = 0, last_slo
     ship(spark)
     if not n:
         return spark.createDataFrame([], "slot long, sequence long, ids binary")
-    files = spark.read.format("binaryFile").load(f"{about['path']}/shards")
+    files = spark.read.format("binaryFile").load(f"{path}/shards")
     wanted = (F.col("shard") >= first_slot // records) & (F.col("shard") <= last // records)
     return files.where(wanted).select(F.col("shard").cast("long"), "content").mapInArrow(
         split, "slot long, sequence long, ids binary"

@@ -119,8 +119,9 @@ def test_empty_tables(spark, awkward):
     assert embedding_dedup.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge_urls(pages, url_filter.labelled_urls(spark)).count() == 0
-    about = token_output.write_shards(none, new_path(spark, "none"))
-    assert token_output.read_records(spark, about).count() == 0
+    path = new_path(spark, "none")
+    token_output.write_shards(none, path)
+    assert token_output.read_records(spark, path).count() == 0
 
 
 def test_line_dedup_keeps_the_largest_id(spark):
@@ -378,8 +379,10 @@ def test_token_shards_hold_the_stream(spark, documents):
     import pyarrow as pa
 
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    about = token_output.write_shards(docs, new_path(spark, "shards"), sequence_length=128, shard_records=1000)
-    records = token_output.read_records(spark, about).collect()
+    path = new_path(spark, "shards")
+    about = token_output.write_shards(docs, path, sequence_length=128, shard_records=1000)
+    assert token_output.read_manifest(spark, path) == about and about["record_bytes"] % 2 == 0
+    records = token_output.read_records(spark, path).collect()
     assert sorted(r.slot for r in records) == list(range(about["sequences"]))
     stream = b"".join(bytes(r.ids) for r in sorted(records, key=lambda r: r.sequence))
     order = [r.text for r in docs.collect()]
@@ -388,10 +391,29 @@ def test_token_shards_hold_the_stream(spark, documents):
         want.append(packing.with_end(ids, bounds, 2)[0].astype("<u2"))
     assert stream == np.concatenate(want).tobytes()
     assert [r.slot for r in records if r.slot == r.sequence].__len__() < 20
-    later = token_output.read_records(spark, about, first_slot=990, last_slot=1010).collect()
+    # All a later session has is the path.
+    later = token_output.read_records(spark.newSession(), path, first_slot=990, last_slot=1010).collect()
     assert {(r.slot, r.sequence) for r in later} == {(r.slot, r.sequence) for r in records if 990 <= r.slot <= 1010}
 
 
+@pytest.mark.parametrize("block_ids", [1, 300, 1 << 20])
+def test_token_shards_of_awkward_rows(spark, awkward, monkeypatch, block_ids):
+    monkeypatch.setattr(token_output, "BLOCK_IDS", block_ids)
+    few = awkward.where("doc_id is null or doc_id not in (4, 5)") if block_ids == 1 else awkward
+    docs, path = few.repartition(3), new_path(spark, "shards")
+    docs.write.parquet(f"{path}-docs")
+    docs = spark.read.parquet(f"{path}-docs")
+    about = token_output.write_shards(docs, path, sequence_length=16, shard_records=7)
+    records = sorted(token_output.read_records(spark, path).collect(), key=lambda r: r.sequence)
+    assert [r.sequence for r in records] == list(range(about["sequences"]))
+    stream = np.frombuffer(b"".join(bytes(r.ids) for r in records), "<u2")
+    encode = lambda text: tokens.encoder("byte_bpe_50k").ids(text or "").tolist()
+    want = collections.Counter(tuple(encode(r.text)) for r in docs.collect())
+    ends = np.flatnonzero(stream == 2)
+    starts = np.append(0, ends[:-1] + 1)
+    assert collections.Counter(tuple(stream[a:b].tolist()) for a, b in zip(starts, ends, strict=True)) == want
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 65_537])
 def test_slots_are_a_permutation(n):
     order = token_output.SlotOrder(n)
