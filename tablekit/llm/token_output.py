@@ -177,41 +177,32 @@ def write_shards(
                     ]
                     yield pa.RecordBatch.from_arrays(columns, ["shard", "slots", "offsets", "sizes", "ids"])
 
-        def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def assemble(parts: pa.Table) -> pa.Table:
+            """One shard's records, from the parts of one shard."""
             unpacker = zstandard.ZstdDecompressor()
-            current, records = None, None
-
-            def rows():
-                first = current * shard_records
-                held = min(shard_records, n - first)
-                raw = records[:held].tobytes()
-                values = [raw[k * stride : (k + 1) * stride] + b"\0" for k in range(held)]
-                for start in range(0, held, 1_000):
-                    some = values[start : start + 1_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([current] * len(some), pa.int64()), pa.array(some, pa.binary())], ["shard", "value"]
-                    )
-
-            for batch in batches:
-                columns = [batch.column(c).to_pylist() for c in ("shard", "slots", "offsets", "sizes")]
-                for shard, slots, offsets, sizes, data in zip(*columns, batch.column("ids"), strict=True):
-                    if shard != current:
-                        if current is not None:
-                            yield from rows()
-                        current, records = shard, np.zeros((shard_records, sequence_length), kind)
-                    ids, start = np.frombuffer(unpacker.decompress(data.as_buffer()), kind), 0
+            shard = parts.column("shard")[0].as_py()
+            first = shard * shard_records
+            records = np.zeros((min(shard_records, n - first), stride + 1), np.uint8)
+            ids_of = records[:, :stride]
+            for chunk in parts.to_batches(max_chunksize=64):
+                columns = [chunk.column(c).to_pylist() for c in ("slots", "offsets", "sizes")]
+                for slots, offsets, sizes, data in zip(*columns, chunk.column("ids"), strict=True):
+                    raw, start = np.frombuffer(unpacker.decompress(data.as_buffer()), np.uint8), 0
                     for slot, offset, size in zip(slots, offsets, sizes, strict=True):
-                        records[slot - shard * shard_records, offset : offset + size] = ids[start : start + size]
-                        start += size
-            if current is not None:
-                yield from rows()
+                        end = start + size * id_bytes
+                        ids_of[slot - first, offset * id_bytes : (offset + size) * id_bytes] = raw[start:end]
+                        start = end
+            ends = np.arange(len(records) + 1, dtype=np.int32) * (stride + 1)
+            values = pa.BinaryArray.from_buffers(pa.binary(), len(records), [None, pa.py_buffer(ends), pa.py_buffer(records)])
+            slots = pa.array(np.arange(first, first + len(records)))
+            return pa.table({"shard": pa.array(np.full(len(records), shard)), "slot": slots, "value": values})
 
         longs = ", ".join(f"{c} array<long>" for c in ("slots", "offsets", "sizes"))
         parts = _placed(blocks).mapInArrow(cut, f"shard long, {longs}, ids binary")
         (
-            parts.repartition("shard")
-            .sortWithinPartitions("shard")
-            .mapInArrow(assemble, "shard long, value binary")
+            parts.groupBy("shard")
+            .applyInArrow(assemble, "shard long, slot long, value binary")
+            .sortWithinPartitions("shard", "slot")
             .select("shard", F.col("value").cast("string").alias("value"))
             .write.partitionBy("shard")
             .option("lineSep", "\n")
