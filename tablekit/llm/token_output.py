@@ -45,7 +45,7 @@ SHARD_RECORDS = 8_192
 ROUNDS = 6
 KEY = 20_240_229
 #: Ids of a block, and how hard blocks and the parts of a shard are compressed.
-BLOCK_IDS, BLOCK_LEVEL, PART_LEVEL = 1 << 20, 6, 3
+BLOCK_IDS, BLOCK_LEVEL, PART_LEVEL = 1 << 19, 6, 3
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

@@ -35,7 +35,7 @@ ROWS, BLOCK_CHARS = 256, 500_000
 #: White-space characters in a row from which on tiktoken is not asked.
 LONG_RUN = 200_000
 #: Characters of a text split at once, and words and characters held at most (by a block more).
-SLICE_CHARS, HELD_WORDS, HELD_CHARS = 1_000_000, 300_000, 20_000_000
+SLICE_CHARS, HELD_WORDS, HELD_CHARS = 1_000_000, 100_000, 5_000_000
 #: A space between two characters that are white space for neither tokenizer.
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 _long_run = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")
