@@ -44,6 +44,8 @@ from tablekit.scratch import scratch, written
 SHARD_RECORDS = 8_192
 ROUNDS = 6
 KEY = 20_240_229
+#: Records handed on at once when they are read.
+READ_RECORDS = 512
 #: Ids of a block, and how hard blocks and the parts of a shard are compressed.
 BLOCK_IDS, BLOCK_LEVEL, PART_LEVEL = 1 << 19, 6, 3
 
@@ -236,13 +238,14 @@ def read_records(spark: SparkSession, path: str, first_slot: int = 0, last_slot:
                 wanted = np.flatnonzero((slots >= first_slot) & (slots <= last))
                 if not len(wanted):
                     continue
-                sequences = order.sequences(slots[wanted])
-                sizes = np.minimum(length, total - sequences * length) * id_bytes
-                ids = [whole[k * stride : k * stride + m].to_pybytes() for k, m in zip(wanted.tolist(), sizes.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slots[wanted]), pa.array(sequences), pa.array(ids, pa.binary())],
-                    ["slot", "sequence", "ids"],
-                )
+                for some in np.split(wanted, range(READ_RECORDS, len(wanted), READ_RECORDS)):
+                    sequences = order.sequences(slots[some])
+                    sizes = np.minimum(length, total - sequences * length) * id_bytes
+                    ids = [whole[k * stride : k * stride + m].to_pybytes() for k, m in zip(some.tolist(), sizes.tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(slots[some]), pa.array(sequences), pa.array(ids, pa.binary())],
+                        ["slot", "sequence", "ids"],
+                    )
 
     ship(spark)
     if not n:
