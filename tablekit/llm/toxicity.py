@@ -7,12 +7,17 @@ bucket has a short vector; the products of the vectors of all pairs of terms add
 what two terms mean together, such as an insult beside the name of a group.
 
 The model is fitted on at most ``SAMPLE_ROWS`` labelled documents, taken by a hash
-of their id; every document is scored, over its whole text.
+of their id; every document is scored, over its whole text. Toxic documents are rare,
+so a plain fit gives one with few marking words a low score. Scores are therefore
+shifted: models fitted without a fold of those documents score that fold, and the
+logit above which at most ``MAX_WRONG`` of its other documents lie becomes the score
+``TOXIC_FROM``. Which buckets count is found anew for every fold.
 
 Defined cases: a null or empty text has no terms and gets the score of the bias; a
 null ``doc_id`` is scored, never labelled and not held out; repeated rows get the
-same score; without labels of both kinds every score is the share of label 1 (0.0
-without any); extra columns are left out; an empty table gives an empty result.
+same score, and of several texts under one labelled id one is fitted; very long texts
+are read whole; without labels of both kinds every score is the share of label 1 (0.0
+without any), and with too few for every fold scores are not shifted; extra columns are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,11 +41,13 @@ SAMPLE_ROWS = 20_000
 PREFIXES = (4, 5, 6, 7, 8)
 #: A bucket counts if so many fitted documents hold it and the shares differ by so many standard errors.
 MIN_DOCS, MIN_Z = 5, 4.0
-EPOCHS = 8
+EPOCHS = 16
 BATCH_ROWS = 512
 RATE = 0.03
 SHRINK = 2e-4
 TOXIC_FROM = 0.7
+#: Folds of the labelled documents, the share of others marked in them, and the least score that may become TOXIC_FROM.
+FOLDS, MAX_WRONG, LEAST_SCORE = 5, 0.005, 0.1
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -151,6 +158,46 @@ def fit_counted(
     return model
 
 
+def _logit(score: float) -> float:
+    return float(np.log(score / (1 - score)))
+
+
+def fit_calibrated(
+    counted: np.ndarray,
+    packed: list[np.ndarray],
+    labels: np.ndarray,
+    folds: np.ndarray,
+    counted_without: list[np.ndarray],
+    max_wrong: float = MAX_WRONG,
+    toxic_from: float = TOXIC_FROM,
+) -> FactorizationMachine:
+    """The model of all rows, shifted by what models without each fold say of it.
+
+    ``packed`` has buckets; ``counted_without`` those that count without each fold.
+    """
+
+    def places(among: np.ndarray) -> list[np.ndarray]:
+        return [np.flatnonzero(np.isin(among, x)) for x in packed]
+
+    model = fit_counted(counted, places(counted), labels)
+    logits = np.zeros(len(labels))
+    for fold, among in enumerate(counted_without):
+        out = folds == fold
+        if not 0 < labels[~out].sum() < (~out).sum():
+            return model
+        found = places(among)
+        part = fit_counted(among, [x for x, o in zip(found, out, strict=True) if not o], labels[~out])
+        theirs = [x for x, o in zip(found, out, strict=True) if o]
+        rows = np.concatenate([np.empty(0, np.int64), *theirs])
+        logits[out] = part.logits(rows, np.array([len(x) for x in theirs], np.int64))[0]
+    others = np.sort(logits[labels == 0])[::-1]
+    if not 0 < len(others) < len(labels):
+        return model
+    cut = max(float(others[int(max_wrong * len(others))]), _logit(LEAST_SCORE))
+    model.bias += _logit(toxic_from) - min(cut, _logit(toxic_from))
+    return model
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> FactorizationMachine:
     """Fits on a bounded sample of the labelled documents that are not held out."""
     ship(docs.sparkSession)
@@ -172,41 +219,56 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
                 [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.binary())], ["doc_id", "toxic", "terms"]
             )
 
-    fitted = written(sample.mapInArrow(hashed, f"doc_id {id_type}, toxic int, terms binary"), "toxicity-terms")
+    # One text per id, so there are at most sample_rows rows, however often an id is repeated.
+    found = sample.mapInArrow(hashed, f"doc_id {id_type}, toxic int, terms binary")
+    once = found.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("terms").alias("terms"))
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
+    fitted = written(once.select("doc_id", "toxic", "terms", fold.alias("fold")), "toxicity-terms")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, toxic = (np.zeros(1 << BUCKET_BITS, np.int64) for _ in range(2))
+        held, toxic = (np.zeros((FOLDS, 1 << BUCKET_BITS), np.int64) for _ in range(2))
         for batch in batches:
-            for label, found in zip(batch.column("toxic").to_pylist(), batch.column("terms").to_pylist(), strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("fold", "toxic", "terms")]
+            for of, label, found in zip(*columns, strict=True):
                 buckets = np.frombuffer(found, "<u4")  # each once
-                held[buckets] += 1
-                toxic[buckets] += label == 1
-        some = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some]), pa.array(toxic[some])], ["bucket", "held", "toxic"])
-
-    counts = fitted.select("toxic", "terms").mapInArrow(count, "bucket long, held long, toxic long")
-    counts = counts.groupBy("bucket").agg(F.sum("held").alias("held"), F.sum("toxic").alias("toxic"))
-    counts = counts.toArrow()  # at most 2 ** BUCKET_BITS rows of three numbers
-    held, toxic = (np.zeros(1 << BUCKET_BITS, np.int64) for _ in range(2))
-    buckets = counts.column("bucket").to_numpy()
-    held[buckets], toxic[buckets] = counts.column("held").to_numpy(), counts.column("toxic").to_numpy()
-    n, n_toxic = fitted.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0))).first()
-    counted = _counted(held, toxic, n, n_toxic)
+                held[of, buckets] += 1
+                toxic[of, buckets] += label == 1
+        of, some = np.nonzero(held)
+        columns = [pa.array(x) for x in (of, some, held[of, some], toxic[of, some])]
+        yield pa.RecordBatch.from_arrays(columns, ["fold", "bucket", "held", "toxic"])
+
+    counts = fitted.select("fold", "toxic", "terms").mapInArrow(count, "fold long, bucket long, held long, toxic long")
+    counts = counts.groupBy("fold", "bucket").agg(F.sum("held").alias("held"), F.sum("toxic").alias("toxic"))
+    counts = counts.toArrow()  # at most FOLDS * 2 ** BUCKET_BITS rows of four numbers
+    held, toxic = (np.zeros((FOLDS, 1 << BUCKET_BITS), np.int64) for _ in range(2))
+    of, buckets = counts.column("fold").to_numpy(), counts.column("bucket").to_numpy()
+    held[of, buckets], toxic[of, buckets] = counts.column("held").to_numpy(), counts.column("toxic").to_numpy()
+    n, n_toxic = np.zeros(FOLDS, np.int64), np.zeros(FOLDS, np.int64)
+    is_toxic = F.sum((F.col("toxic") == 1).cast("long"))
+    for row in fitted.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), is_toxic.alias("n_toxic")).collect():
+        n[row.fold], n_toxic[row.fold] = row.n, row.n_toxic
+    total, toxic_total = held.sum(axis=0), toxic.sum(axis=0)
+    counted = _counted(total, toxic_total, n.sum(), n_toxic.sum())
+    without = [
+        _counted(total - held[f], toxic_total - toxic[f], n.sum() - n[f], n_toxic.sum() - n_toxic[f]) for f in range(FOLDS)
+    ]
+    ever = np.unique(np.concatenate([counted, *without]))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                np.flatnonzero(np.isin(counted, np.frombuffer(x, "<u4"))).astype("<u4").tobytes()
+                np.intersect1d(ever, np.frombuffer(x, "<u4"), assume_unique=True).astype("<u4").tobytes()
                 for x in batch.column("terms").to_pylist()
             ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.binary())], ["doc_id", "toxic", "terms"]
-            )
+            columns = [batch.column("doc_id"), batch.column("toxic"), batch.column("fold"), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "fold", "terms"])
 
     # At most sample_rows rows, with the terms that count only.
-    rows = fitted.mapInArrow(pack, f"doc_id {id_type}, toxic int, terms binary").orderBy("doc_id", "terms").toArrow()
+    rows = fitted.select("doc_id", "toxic", "fold", "terms")
+    rows = rows.mapInArrow(pack, f"doc_id {id_type}, toxic int, fold int, terms binary").orderBy("doc_id").toArrow()
     packed = [np.frombuffer(x.as_py(), "<u4") for x in rows.column("terms")]
-    return fit_counted(counted, packed, (rows.column("toxic").to_numpy() == 1).astype(float))
+    truth = (rows.column("toxic").to_numpy() == 1).astype(float)
+    return fit_calibrated(counted, packed, truth, rows.column("fold").to_numpy(), without)
 
 
 def score_toxicity(docs: DataFrame, model: FactorizationMachine, toxic_from: float = TOXIC_FROM) -> DataFrame:
