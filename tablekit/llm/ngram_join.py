@@ -12,9 +12,11 @@ reach the overlap asked for, or if all its sets have the same answer already.
 first. Members linked to a leader share its component, so lists need not bring them
 together. For other candidates only the leaders are compared; a member's overlap
 follows from its leader's up to the few shingles in which the two differ, and
-only where that leaves the answer open are the members themselves compared. Before
-any text is read, pairs whose signatures (parities of shingles per bit) differ in
-more bits than linked sets can differ in shingles are left out.
+only where that leaves the answer open are the members themselves compared. Pairs
+whose signatures (parities of shingles per bit) differ in more bits than linked sets
+can differ in shingles are left out where they meet, so they are never written; only
+entries of a list with a partner of fitting size carry a signature. Long lists are a
+grid of cells of at most ``CELL`` entries a side, each a group of its own.
 
 Any order of the shingles gives the same links. Shingles many documents share come
 last, so that few meet in their lists: of the shingles found in at least
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm.bits import asked_for
@@ -51,8 +53,10 @@ BANDS, BAND_HASHES = 4, 4
 #: Shingles gathered per chunk when counting, and the documents of a chunk that must share one.
 CHUNK_SHINGLES, CHUNK_DOCS = 2_000_000, 2
 MOST_FREQUENT = 1 << 18
-#: Entries of a list walked together.
-BLOCK = 256
+#: Entries of a list walked together, and those of a side of a cell.
+BLOCK, CELL = 256, 1 << 14
+#: Pairs handed on at once.
+PAIR_ROWS = 1 << 17
 #: Members compared with one copy of their leader.
 LEADER_MEMBERS = 512
 #: Longs of a signature.
@@ -259,24 +263,49 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     return written(rows.mapInArrow(compare, schema).distinct(), "ngram-overlaps")
 
 
-def _pairs_in_list(n, pos, comp, percent: int):
-    """Index pairs of one list, sorted by size, that may be linked and are not in one component."""
+def _shared_entries(entries: DataFrame, percent: int) -> DataFrame:
+    """The entries with a partner of fitting size in a list of several components.
+
+    ``block`` numbers the blocks of a list by size; ``blocks`` is how many it has.
+    """
+    whole = Window.partitionBy("shingle")
+    by_size = whole.orderBy("n", "d1", "rep")
+    placed = entries.select(
+        "*",
+        F.lag("n").over(by_size).alias("smaller"),
+        F.lead("n").over(by_size).alias("larger"),
+        F.floor((F.row_number().over(by_size) - 1) / CELL).cast("int").alias("block"),
+        F.ceil(F.count(F.lit(1)).over(whole) / CELL).cast("int").alias("blocks"),
+        F.min("comp").over(whole).alias("least"),
+        F.max("comp").over(whole).alias("most"),
+    )
+    fits = (100 * F.col("smaller") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("larger"))
+    return placed.where((F.col("least") != F.col("most")) & fits).drop("smaller", "larger", "least", "most")
+
+
+def _pairs_in_cell(n, pos, comp, signatures, percent: int, split: int):
+    """Index pairs of a cell that may be linked and are not in one component.
+
+    Entries are sorted by size; with a ``split`` only pairs across it are asked for.
+    """
     rest = n - pos
-    edges = list(range(0, len(n), BLOCK))
-    least = [int(comp[a : a + BLOCK].min()) for a in edges]
-    most = [int(comp[a : a + BLOCK].max()) for a in edges]
-    left = [int(rest[a : a + BLOCK].max()) for a in edges]
-    for j, b in enumerate(edges):
-        nj, rj, cj = n[b : b + BLOCK], rest[b : b + BLOCK], comp[b : b + BLOCK]
-        for i in range(j, -1, -1):
-            a = edges[i]
-            ni = n[a : a + BLOCK]
+    edges = [*range(0, split, BLOCK), *range(split, len(n), BLOCK)]
+    ends = [*edges[1:], len(n)]
+    spans = list(map(slice, edges, ends))
+    least = [int(comp[s].min()) for s in spans]
+    most = [int(comp[s].max()) for s in spans]
+    left = [int(rest[s].max()) for s in spans]
+    across = sum(a < split for a in edges)
+    for j in range(across, len(edges)):
+        nj, rj, cj = n[spans[j]], rest[spans[j]], comp[spans[j]]
+        for i in range(across - 1 if split else j, -1, -1):
+            ni = n[spans[i]]
             if 100 * ni[-1] < percent * nj[0]:
                 break  # this block and all before hold sets too small
             need = percent * (ni[0] + nj[0])
             if min(left[i], left[j]) * (100 + percent) < need or least[i] == most[i] == least[j] == most[j]:
                 continue
-            ri, ci = rest[a : a + BLOCK], comp[a : a + BLOCK]
+            ri, ci = rest[spans[i]], comp[spans[i]]
             may = (
                 (ci[:, None] != cj[None, :])
                 & (100 * ni[:, None] >= percent * nj[None, :])
@@ -285,47 +314,82 @@ def _pairs_in_list(n, pos, comp, percent: int):
             if i == j:
                 may = np.triu(may, 1)
             p, q = np.nonzero(may)
-            if len(p):
-                yield p + a, q + b
+            p, q = p + edges[i], q + edges[j]
+            # The union is the overlap and what differs: o = (sizes - differ) / 2.
+            sizes = n[p] + n[q]
+            differ = np.bitwise_count(signatures[p] ^ signatures[q]).sum(axis=1, dtype=np.int64)
+            alike = (100 + percent) * (sizes - differ) >= 2 * percent * sizes
+            if alike.any():
+                yield p[alike], q[alike]
 
 
-def _candidates(entries: DataFrame, percent: int) -> DataFrame:
+def _candidates(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of different components that share a prefix shingle and may be linked."""
-    names = ["shingle", "rep", "d1", "n", "pos", "comp"]
+    names = ["shingle", "row", "column", "block", "rep", "d1", "n", "pos", "comp"]
     out = ["x", "dx", "nx", "y", "dy", "ny"]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def lists(columns):
-            """Pairs of the lists in sorted arrays."""
-            shingle, rep, d1, n, pos, comp = columns
-            starts = np.flatnonzero(np.append(True, np.diff(shingle) != 0))
-            if not len(shingle):
-                return
-            sizes = np.diff(np.append(starts, len(shingle)))
-            mixed_lists = np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts)
-            parts = []
-            for s, m in zip(starts[mixed_lists].tolist(), sizes[mixed_lists].tolist(), strict=True):
-                span = slice(s, s + m)
-                for p, q in _pairs_in_list(n[span], pos[span], comp[span], percent):
+        def pairs(columns, signatures):
+            """Pairs of the cells in sorted arrays."""
+            shingle, row, column, block, rep, d1, n, pos, comp = columns
+            new = (np.diff(shingle) != 0) | (np.diff(row) != 0) | (np.diff(column) != 0)
+            starts = [0, *(np.flatnonzero(new) + 1).tolist(), len(shingle)]
+            for s, e in zip(starts, starts[1:], strict=False):
+                span = slice(s, e)
+                split = int((block[span] == row[s]).sum()) if row[s] != column[s] else 0
+                if row[s] != column[s] and split in (0, e - s):
+                    continue
+                for p, q in _pairs_in_cell(n[span], pos[span], comp[span], signatures[span], percent, split):
                     p, q = p + s, q + s
                     swap = (rep[p] < rep[q]) | (rep[p] == rep[q]) & (d1[p] < d1[q])
                     p, q = np.where(swap, q, p), np.where(swap, p, q)
-                    parts.append(np.stack([rep[p], d1[p], n[p], rep[q], d1[q], n[q]]))
+                    yield np.stack([rep[p], d1[p], n[p], rep[q], d1[q], n[q]])
+
+        def batched(found):
+            """Pairs in batches, each pair once a batch."""
+            parts, size = [], 0
+            for part in found:
+                parts.append(part)
+                size += part.shape[1]
+                if size >= PAIR_ROWS:
+                    yield np.unique(np.concatenate(parts, axis=1), axis=1)
+                    parts, size = [], 0
             if parts:
-                found = np.unique(np.concatenate(parts, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], out)
-
-        held = [np.empty(0, np.int64)] * len(names)
-        for batch in batches:
-            new = [batch.column(c).to_numpy() for c in names]
-            held = [np.concatenate(pair) for pair in zip(held, new, strict=True)]
-            last = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
-            if last:
-                yield from lists([c[:last] for c in held])
-                held = [c[last:] for c in held]
-        yield from lists(held)
-
-    dealt = entries.select(*names).repartition("shingle").sortWithinPartitions("shingle", "n")
+                yield np.unique(np.concatenate(parts, axis=1), axis=1)
+
+        def whole_cells():
+            held, held_signatures = [np.empty(0, np.int64)] * len(names), np.empty((0, SIGNATURE), np.uint64)
+            for batch in batches:
+                # Never more than a cell and a batch.
+                held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, names, strict=True)]
+                theirs = batch.column("signature").flatten().to_numpy().view(np.uint64).reshape(-1, SIGNATURE)
+                held_signatures = np.concatenate([held_signatures, theirs])
+                if not len(held[0]):
+                    continue
+                same = (held[0] == held[0][-1]) & (held[1] == held[1][-1]) & (held[2] == held[2][-1])
+                last = len(same) - int(same.sum())  # a cell's entries come in one run
+                if last:
+                    yield from pairs([c[:last] for c in held], held_signatures[:last])
+                    held, held_signatures = [c[last:] for c in held], held_signatures[last:]
+            if len(held[0]):
+                yield from pairs(held, held_signatures)
+
+        for found in batched(whole_cells()):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], out)
+
+    lists = written(_shared_entries(entries, percent), "ngram-lists")
+    marks = classes.select(F.col("rep").alias("of"), F.col("d1").alias("of_d1"), "signature")
+    signed = lists.join(marks, (F.col("rep") == F.col("of")) & (F.col("d1") == F.col("of_d1")))
+    # Block i of a list meets every block j, in cell (smaller, larger).
+    cells = signed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "shingle",
+        F.least("block", "other").cast("long").alias("row"),
+        F.greatest("block", "other").cast("long").alias("column"),
+        F.col("block").cast("long").alias("block"),
+        "rep", "d1", "n", "pos", "comp", "signature",
+    )
+    cell = ["shingle", "row", "column"]
+    dealt = cells.repartition(*cell).sortWithinPartitions(*cell, "n", "d1", "rep")
     return dealt.mapInArrow(walk, ", ".join(f"{c} long" for c in out)).distinct()
 
 
@@ -376,8 +440,7 @@ def _labelled(docs: DataFrame, words: int, percent: int, join_ids: bool) -> tupl
         .select("rep", "d1", "n", "comp", F.posexplode("prefix").alias("pos", "shingle"))
         .withColumn("pos", F.col("pos").cast("long"))
     )
-    candidates = written(_candidates(entries, percent), "ngram-candidates")
-    candidates = written(_may_link(classes, candidates, percent), "ngram-likely")
+    candidates = written(_candidates(entries, classes, percent), "ngram-candidates")
 
     # A member's answers follow from its leader's: it has x_more shingles its leader has not, and lacks x_less.
     best = stars.groupBy(F.col("x").alias("m"), F.col("dx").alias("dm")).agg(
