@@ -7,13 +7,24 @@ from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tablekit.functions import cleanse
 from tablekit.operators.quality import quoted
 
+# Types a column of text is tried for, narrowest first, with the form of their values.
+INFERRED = (
+    ("int", r"[+-]?\d+"),
+    ("bigint", r"[+-]?\d+"),
+    ("decimal(38,0)", r"[+-]?\d+"),
+    ("double", r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|NaN|[+-]?Inf(?:inity)?"),
+    ("date", r"\d{4}-\d{2}-\d{2}"),
+    ("timestamp", r"\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:\d{2})?)?"),
+    ("boolean", r"(?i:true|false)"),
+)
+
 
 def _found(path: str, read: Callable[[str], DataFrame]) -> DataFrame:
     try:
@@ -38,28 +49,43 @@ def read_csv(
 ) -> DataFrame:
     """Delimited text with a header line; double quotes protect a field.
 
-    Give a ``schema`` for data of any size: without one Spark reads every byte
-    a second time to infer the types. Empty fields are NULL, and so are those
-    equal to ``null_value``. Several such markers need a schema; fields are then
-    read as text and cast, and values that do not fit their type are NULL.
+    Fields are read as text and cast as SQL does; values that do not fit their type are
+    NULL. Empty fields are NULL, and so are those equal to a marker in ``null_value``.
+
+    Give a ``schema`` for data of any size: without one, one aggregate over the whole
+    text finds the first type of ``INFERRED`` that every field of a column fits, so
+    the text is read twice. Columns without a value, or that fit no type, stay text.
     """
     markers = [null_value] if isinstance(null_value, str) else list(null_value or [])
     reader = spark.read.option("header", True).option("sep", sep)
-    if len(markers) > 1:
-        if schema is None:
-            raise ValueError("several null markers need a schema")
+    if schema is not None:
         fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        text = _found(path, reader.schema(StructType([StructField(f.name, StringType()) for f in fields])).csv)
-        return text.select(
-            *[
-                F.when(~text[quoted(f.name)].isin(markers), text[quoted(f.name)]).try_cast(f.dataType).alias(f.name)
-                for f in fields
-            ]
-        )
+        reader = reader.schema(StructType([StructField(f.name, StringType()) for f in fields]))
+    text = _found(path, reader.csv)
+    values = [text[quoted(c)] for c in text.columns]
     if markers:
-        reader = reader.option("nullValue", markers[0])
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return _found(path, reader.csv)
+        values = [F.when(~v.isin(markers), v) for v in values]
+    types = _narrowest_types(text, values) if schema is None else [f.dataType for f in fields]
+    return text.select(
+        *[v.try_cast(t).alias(c) for v, t, c in zip(values, types, text.columns, strict=True)]
+    )
+
+
+def _narrowest_types(text: DataFrame, values: Sequence[Column]) -> list[str]:
+    """The first type of ``INFERRED`` that all values of each column fit; one aggregate."""
+
+    def fitting(value: Column) -> Column:
+        bits = [
+            F.when(value.rlike(f"^(?:{form})$") & value.try_cast(kind).isNotNull(), 1 << i).otherwise(0)
+            for i, (kind, form) in enumerate(INFERRED)
+        ]
+        return F.when(value.isNotNull(), sum(bits[1:], bits[0]))
+
+    if not values:
+        return []
+    found = text.agg(*[F.bit_and(fitting(v)).alias(f"_{i}") for i, v in enumerate(values)]).first()
+    kinds = [kind for kind, _ in INFERRED]
+    return [next((k for i, k in enumerate(kinds) if (mask or 0) >> i & 1), "string") for mask in found]
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

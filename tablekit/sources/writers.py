@@ -15,16 +15,24 @@ def write_partitioned(
     order_by: Sequence[Column],
     one_file_per_group: bool = False,
     fmt: str = "parquet",
+    max_file_rows: int = 1_000_000,
 ) -> None:
     """Write one directory per group with ordered rows; fails if ``path`` exists.
 
     All groups are written by one job. By default rows are range-partitioned by
     group, order and origin, so a group holding most of the data, tied rows and
     copies included, is spread over many files whose names follow the order.
-    ``one_file_per_group`` puts each group into a single file and is meant for
-    groups of bounded size, such as top-n reports.
+    ``one_file_per_group`` puts each group into a single file, for groups of bounded
+    size such as top-n reports: the groups are counted first, and one of more than
+    ``max_file_rows`` rows is an error before anything is written.
     """
     if one_file_per_group:
+        sizes = df.groupBy(F.col(group)).agg(F.count("*").alias("_rows"))
+        large = sizes.filter(F.col("_rows") > max_file_rows).first()
+        if large is not None:
+            raise ValueError(
+                f"group {large[0]!r} of {group} has {large[1]} rows, more than {max_file_rows} for one file"
+            )
         placed = df.repartition(group)
     else:
         # The partition a row comes from is the same when its task runs again.

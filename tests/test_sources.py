@@ -148,8 +148,71 @@ def test_csv_with_several_null_markers(spark, tmp_path):
     found = S.read_csv(spark, str(path), "id int, v int, s string", null_value=["NA", "-999"])
     assert found.dtypes == [("id", "int"), ("v", "int"), ("s", "string")]
     assert sorted(tuple(r) for r in found.collect()) == [(1, None, None), (2, None, "ok"), (3, 7, None), (4, None, "x")]
-    with pytest.raises(ValueError, match="schema"):
-        S.read_csv(spark, str(path), null_value=["NA", "-999"])
+    assert S.read_csv(spark, str(path), null_value=["NA", "-999"]).dtypes == found.dtypes
+
+
+def test_csv_with_one_marker_equals_two(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('n,d,b,s\n 1,1.5,true,NA\n1.5,x,yes,"NA"\nNA,NaN,NA,""\n99999999999,-Inf,FALSE, NA\n,,,\n')
+    schema = "n int, d double, b boolean, s string"
+    one, two = (S.read_csv(spark, str(path), schema, null_value=m) for m in ("NA", ["NA", "never"]))
+    assert one.dtypes == two.dtypes
+    assert [repr(r) for r in one.collect()] == [repr(r) for r in two.collect()]
+    assert [r.n for r in one.collect()] == [1, None, None, None, None]
+
+
+def test_csv_types_are_the_narrowest_that_fit(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    columns = {
+        "i": ("1", "-7", "int"),
+        "l": ("1", "99999999999", "bigint"),
+        "m": ("1", "99999999999999999999", "decimal(38,0)"),
+        "f": ("1", "2.5e3", "double"),
+        "d": ("2020-02-29", "2021-01-01", "date"),
+        "t": ("2020-02-29", "2021-01-01 10:00:00", "timestamp"),
+        "bad": ("2020-02-29", "2021-02-30", "string"),
+        "o": ("true", "False", "boolean"),
+        "w": ("1", "true", "string"),
+        "none": ("NA", "", "string"),
+        "part": ("NA", "3", "int"),
+    }
+    lines = [",".join(columns), *(",".join(v[i] for v in columns.values()) for i in (0, 1))]
+    path.write_text("\n".join(lines) + "\n")
+    found = S.read_csv(spark, str(path), null_value="NA")
+    assert found.dtypes == [(c, v[2]) for c, v in columns.items()]
+    first, second = found.collect()
+    assert (first.i, second.i, second.l, second.f, second.o) == (1, -7, 99999999999, 2500.0, False)
+    assert first.none is second.none is first.part is None and second.part == 3
+
+
+def test_csv_types_take_the_same_jobs_for_any_number_of_columns(spark, tmp_path):
+    def jobs(n):
+        path = tmp_path / f"{n}.csv"
+        path.write_text(",".join(f"c{i}" for i in range(n)) + "\n" + ",".join("7" * n) + "\n")
+        spark.sparkContext.setJobGroup(f"csv-{n}", "")
+        assert {t for _, t in S.read_csv(spark, str(path)).dtypes} == {"int"}
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"csv-{n}"))
+
+    assert 0 < jobs(1) == jobs(40) <= 3
+
+
+def test_csv_of_a_header_alone(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("a,b\n")
+    found = S.read_csv(spark, str(path), null_value="NA")
+    assert found.dtypes == [("a", "string"), ("b", "string")] and found.count() == 0
+
+
+def test_one_file_is_refused_for_a_large_group(spark, tmp_path):
+    other = F.concat(F.lit("g"), F.col("id") % 9)
+    df = spark.range(1000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(other).alias("g"), "id")
+    path = tmp_path / "out"
+    with pytest.raises(ValueError, match="'hot' of g has 500 rows"):
+        S.write_partitioned(df, str(path), "g", [F.desc("id")], one_file_per_group=True, max_file_rows=499)
+    assert not path.exists()
+    S.write_partitioned(df, str(path), "g", [F.desc("id")], one_file_per_group=True, max_file_rows=500)
+    assert {len(f) for f in group_files(path).values()} == {1}
 
 
 def test_scratch_removes_what_was_written_inside(spark):
