@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,82 @@ def spread_centers(points: DataFrame, columns: Sequence[str], k: int) -> Centers
     return [[low for low, _ in sides], *inner, [high for _, high in sides]]
 
 
+def seeded_centers(
+    points: DataFrame, columns: Sequence[str], k: int, rounds: int = 5, seed: int = 42
+) -> Centers:
+    """``k`` centres spread over the points, by oversampled parallel seeding.
+
+    Each round draws ``2 * k`` points, likelier the larger their squared distance to
+    the nearest one drawn before. The drawn points, each weighed by the number of
+    points nearest to it, are then reduced to ``k`` on the driver, which sees
+    ``1 + 2 * k * rounds`` rows whatever the size of the table.
+
+    Points with a missing coordinate are left out. Where there are fewer than ``k``
+    different points, some centres are equal. The draw is the same for the same
+    partitions of the table.
+    """
+    if k < 1:
+        raise ValueError("at least one centre is needed")
+    point = F.array(*[F.col(c).cast("double") for c in columns])
+    known = points.select(*columns).na.drop().select(point.alias("_point"))
+    drawn = [list(r[0]) for r in known.orderBy(F.rand(seed)).limit(1).collect()]
+    if not drawn:
+        raise ValueError("there is no point without a missing coordinate")
+    for step in range(1, rounds + 1):
+        gap = F.array_min(_gaps(F.col("_point"), drawn))
+        # The smallest of exponential times of rate ``gap`` are a draw weighed by it.
+        time = -F.log1p(-F.rand(seed + step)) / F.col("_gap")
+        far = known.select("_point", gap.alias("_gap")).filter("_gap > 0")
+        drawn += [list(r[0]) for r in far.orderBy(time).limit(2 * k).collect()]
+    different = sorted({tuple(p) for p in drawn})
+    gaps = known.select(_gaps(F.col("_point"), [list(p) for p in different]).alias("_gaps"))
+    place = F.array_position("_gaps", F.array_min("_gaps")) - 1
+    weights = {r[0]: r[1] for r in gaps.groupBy(place.alias("_place")).count().collect()}
+    counts = np.array([weights.get(i, 0) for i in range(len(different))], dtype=float)
+    return _reduced(np.array(different), counts, k, seed)
+
+
+def _gaps(point: Column, centers: Centers) -> Column:
+    """Squared distances of a point to the centres."""
+
+    def squared(center: Column) -> Column:
+        parts = F.zip_with(center, point, lambda a, b: (a - b) * (a - b))
+        return F.aggregate(parts, F.lit(0.0), lambda total, part: total + part)
+
+    return F.transform(F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers]), squared)
+
+
+def _reduced(points: np.ndarray, weights: np.ndarray, k: int, seed: int, tries: int = 10) -> Centers:
+    """``k`` centres of a few weighed points: the best of some weighed starts and steps."""
+    random = np.random.default_rng(seed)
+    best, least = points[:1], np.inf
+    for _ in range(tries):
+        centers = points[[random.choice(len(points), p=weights / weights.sum())]]
+        while len(centers) < k:
+            gaps = ((points[:, None] - centers) ** 2).sum(2).min(1) * weights
+            if gaps.sum() == 0:
+                centers = np.vstack([centers, np.repeat(centers[-1:], k - len(centers), 0)])
+                break
+            centers = np.vstack([centers, points[random.choice(len(points), p=gaps / gaps.sum())]])
+        for _ in range(50):
+            place = ((points[:, None] - centers) ** 2).sum(2).argmin(1)
+            moved = np.array(
+                [
+                    np.average(points[place == i], axis=0, weights=weights[place == i])
+                    if weights[place == i].sum() > 0
+                    else center
+                    for i, center in enumerate(centers)
+                ]
+            )
+            if np.array_equal(moved, centers):
+                break
+            centers = moved
+        cost = (((points[:, None] - centers) ** 2).sum(2).min(1) * weights).sum()
+        if cost < least:
+            best, least = centers, cost
+    return sorted(best.tolist())
+
+
 def nearest(columns: Sequence[str], centers: Centers) -> Column:
     """Number of the nearest centre; the lower number wins a tie.
 

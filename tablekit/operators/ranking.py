@@ -138,11 +138,15 @@ def add_index(
     from files and not shuffled since. Other tables without ``order_by`` get a unique
     and contiguous index in no promised order.
 
-    Each task numbers its own rows; the numbered table is written once, and the
-    rows before each piece (a part of a file, or a partition) are added to it. Tied
-    rows are numbered by the partition they come from, so the sort can spread a
+    Rows of parquet files know their place in the file; where all rows of the files are
+    there, the numbers of rows in the files before are added to it and nothing else is
+    written. Otherwise each task numbers its own rows; the numbered table is written
+    once, and the rows before each piece (a part of a file, or a partition) are added to
+    it. Tied rows are numbered by the partition they come from, so the sort can spread a
     value that most rows share, or copies of one row, over many tasks.
     """
+    if order_by is None and (indexed := _indexed_in_files(df, name)) is not None:
+        return indexed
     if order_by is not None:
         # The partition a row comes from is the same when its task runs again.
         placed = df.withColumn("_from", F.spark_partition_id())
@@ -174,6 +178,30 @@ def add_index(
     return indexed.select(*[F.col(quoted(c)) for c in df.columns], place.alias(name))
 
 
+def _indexed_in_files(df: DataFrame, name: str) -> DataFrame | None:
+    """The rows numbered by file and place in it, if each row of the files is there once."""
+    try:
+        rows = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return None  # files that do not number their rows, or no files
+    # Which places are taken, as bits: about one bit a row is shuffled.
+    taken = F.bitmap_construct_agg(F.bitmap_bit_position("_row"))
+    blocks = rows.groupBy("_path", F.bitmap_bucket_number("_row").alias("_block")).agg(
+        F.count("*").alias("_rows"), F.bitmap_count(taken).alias("_places"), F.max("_row").alias("_last")
+    )
+    files = blocks.groupBy("_path").agg(
+        F.sum("_rows").alias("_rows"), F.sum("_places").alias("_places"), (F.max("_last") + 1).alias("_end")
+    )
+    files = written(files, "file-rows")
+    if not files.filter("_rows != _places OR _rows != _end").isEmpty():
+        return None
+    # One row per file, so this window is small; Spark chooses the join by its size.
+    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("_path", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_row")
+    return rows.join(offsets, on="_path").select(*[F.col(quoted(c)) for c in df.columns], place.alias(name))
+
+
 def _with_file_piece(df: DataFrame) -> DataFrame | None:
     """The rows with the file they come from and the place of their piece in it."""
     names = ("file_path", "file_block_start")

@@ -13,6 +13,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tablekit.functions import decode_flags, month_of, range_label, year_of
 from tablekit.functions.labels import AGE_GROUPS
@@ -22,6 +23,9 @@ from tablekit.scratch import written
 # The summer months as they appear in release dates.
 SUMMER = ("may", "jun", "jul")
 
+# Labels per number of a list's bit mask; the sign bit stays free.
+_WORD_BITS = 63
+
 
 def cast_ratings(df: DataFrame) -> DataFrame:
     """The rating triple as ``int, int, float``."""
@@ -40,14 +44,47 @@ def distinct_pairs(df: DataFrame, key: str, label: str) -> DataFrame:
     return df.select(key, label).distinct()
 
 
-def group_lists(df: DataFrame, key: str, label: str, name: str) -> DataFrame:
+def group_lists(
+    df: DataFrame,
+    key: str,
+    label: str,
+    name: str,
+    labels: Sequence[Any] | None = None,
+    max_labels: int = 1024,
+) -> DataFrame:
     """One row per key with the sorted list of its different labels.
 
-    Meant for labels from a fixed set, such as age groups: the list can then
-    not outgrow that set.
+    Meant for labels from a fixed set, such as age groups. The set is ``labels``, or is
+    found by one aggregate; more than ``max_labels`` of them are an error, as a list
+    could then outgrow a row, and so is a value outside a given set. A key's labels are
+    bits of a few numbers, combined before they are shuffled and decoded once. NULL
+    labels are in no list; a key without others has an empty one.
     """
-    lists = distinct_pairs(df, key, label).groupBy(key)
-    return lists.agg(F.array_sort(F.collect_list(label)).alias(name))
+    value = F.col(label)
+    if labels is None:
+        different = df.select(value).filter(value.isNotNull()).distinct()
+        labels = [r[0] for r in different.orderBy(value).limit(max_labels + 1).collect()]
+    else:
+        labels = sorted(labels)
+    if len(labels) > max_labels:
+        raise ValueError(f"{label} has more than {max_labels} different values")
+    known = F.array(*[F.lit(v) for v in labels]).cast(ArrayType(df.schema[label].dataType))
+    place = F.array_position(known, value)
+    unknown = F.raise_error(F.concat(F.lit(f"value of {label} not among the labels: "), value.cast("string")))
+    numbered = df.select(key, F.when(place == 0, unknown.cast("int")).otherwise(place - 1).cast("int").alias("_bit"))
+    n_words = max(1, -(-len(labels) // _WORD_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit") % _WORD_BITS)
+    in_word = [F.floor(F.col("_bit") / _WORD_BITS) == w for w in range(n_words)]
+    masks = numbered.groupBy(key).agg(
+        *[F.coalesce(F.bit_or(F.when(inside, bit)), F.lit(0).cast("long")).alias(f"_mask_{w}") for w, inside in enumerate(in_word)]
+    )
+    words = F.array(*[f"_mask_{w}" for w in range(n_words)])
+
+    def held(_, i: Column) -> Column:
+        word = F.get(words, F.floor(i / _WORD_BITS).cast("int"))
+        return F.call_function("getbit", word, i % _WORD_BITS) == 1
+
+    return masks.select(key, F.filter(known, held).alias(name))
 
 
 def attach_group_list(df: DataFrame, key: str, label: str, name: str) -> DataFrame:

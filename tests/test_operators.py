@@ -432,6 +432,76 @@ def test_attach_group_list_keeps_null_keys(spark):
     ]
 
 
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 200])
+def test_group_lists_of_many_labels(spark, n):
+    """Bits in one, two and more numbers, first and last of each included."""
+    df = spark.range(n * 12).select((F.col("id") % 7).alias("k"), F.format_string("é%03d", F.col("id") % n).alias("l"))
+    expected = {}
+    for k, label in rows(df):
+        expected.setdefault(k, set()).add(label)
+    found = R.group_lists(df, "k", "l", "ls")
+    assert {r.k: r.ls for r in found.collect()} == {k: sorted(v) for k, v in expected.items()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "partial_bit_or" in plan
+
+
+def test_group_lists_of_null_unknown_and_too_many_labels(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (2, None), (None, 7), (2, -3)], "k int, l int")
+    expected = {1: [], 2: [-3, 5], None: [7]}
+    assert {r.k: r.ls for r in R.group_lists(df, "k", "l", "ls").collect()} == expected
+    assert {r.k: r.ls for r in R.group_lists(df, "k", "l", "ls", labels=[7, 5, -3, 9]).collect()} == expected
+    with pytest.raises(ValueError, match="more than 2"):
+        R.group_lists(df, "k", "l", "ls", max_labels=2)
+    with pytest.raises(Exception, match="not among the labels: 7"):
+        R.group_lists(df, "k", "l", "ls", labels=[5, -3]).collect()
+    assert R.group_lists(df.limit(0), "k", "l", "ls").collect() == []
+
+
+def test_seeded_centers_find_planted_clusters(spark):
+    """Eight corners of four dimensions; centres on the diagonal merge some of them."""
+    corners = [[0, 0, 0, 0], [0, 0, 9, 9], [0, 9, 0, 9], [0, 9, 9, 0], [9, 0, 0, 9], [9, 0, 9, 0], [9, 9, 0, 0], [9, 9, 9, 9]]
+    # The first corner holds more than a third of the points.
+    data = [
+        [x + (i * (d + 3) % 11) / 20 for d, x in enumerate(corner)]
+        for c, corner in enumerate(corners)
+        for i in range(300 if c == 0 else 70)
+    ]
+    names = ["x", "y", "z", "w"]
+    points = spark.createDataFrame([*data, [None, 1.0, 1.0, 1.0]], ", ".join(f"{c} double" for c in names))
+
+    def planted(centers):
+        moved = cluster.kmeans_fit(points, names, centers, 5)
+        return sorted([round((x - 0.25) / 9) * 9 for x in c] for c in moved) == corners
+
+    centers = cluster.seeded_centers(points, names, 8)
+    assert planted(centers) and centers == cluster.seeded_centers(points, names, 8)
+    assert not planted(cluster.spread_centers(points, names, 8))
+
+
+def test_seeded_centers_of_few_and_equal_points(spark):
+    points = spark.createDataFrame([(1.0,)] * 50 + [(4.0,)] + [(None,)], "x double")
+    assert {c[0] for c in cluster.seeded_centers(points, ["x"], 3)} == {1.0, 4.0}
+    assert len(cluster.seeded_centers(points, ["x"], 3)) == 3
+    with pytest.raises(ValueError, match="no point"):
+        cluster.seeded_centers(points.filter("x IS NULL"), ["x"], 2)
+
+
+def test_add_index_of_parquet_writes_one_row_a_file(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    spark.range(0, 70_000, 1, 3).write.parquet(path)
+    table = spark.read.parquet(path)
+    indexed = ranking.add_index(table)
+    assert [(r.id, r.idx) for r in indexed.orderBy("idx").collect()] == [(i, i) for i in range(70_000)]
+    kept = [f for f in indexed.inputFiles() if f not in table.inputFiles()]
+    assert sum(spark.read.parquet(f).count() for f in kept) == 3
+    # In the order of the files also after a shuffle; contiguous where rows are missing or repeated.
+    assert [r.id for r in ranking.add_index(table.repartition(4)).orderBy("idx").collect()] == list(range(70_000))
+    some = ranking.add_index(table.filter("id % 3 != 1")).collect()
+    assert [r.id for r in sorted(some, key=lambda r: r.idx)] == [i for i in range(70_000) if i % 3 != 1]
+    twice = ranking.add_index(table.select("id", F.explode(F.array(F.lit(1), F.lit(2))).alias("c")))
+    assert sorted(r.idx for r in twice.collect()) == list(range(140_000))
+
+
 def test_genre_filter_lies_below_the_aggregate(spark, capsys):
     ratings = spark.createDataFrame([(1, 1, 5.0), (2, 2, 3.0)], "user_id int, movie_id int, rating double")
     users = spark.createDataFrame([(1, 30, "x"), (2, 20, "x")], "user_id int, age int, occupation string")
