@@ -68,7 +68,7 @@ def group_lists(
         labels = sorted(labels)
     if len(labels) > max_labels:
         raise ValueError(f"{label} has more than {max_labels} different values")
-    known = F.array(*[F.lit(v) for v in labels]).cast(ArrayType(df.schema[label].dataType))
+    known = F.array(*[F.lit(v) for v in labels]).cast(ArrayType(df.select(value).schema[0].dataType))
     place = F.array_position(known, value)
     unknown = F.raise_error(F.concat(F.lit(f"value of {label} not among the labels: "), value.cast("string")))
     numbered = df.select(key, F.when(place == 0, unknown.cast("int")).otherwise(place - 1).cast("int").alias("_bit"))
@@ -222,7 +222,8 @@ def top_n_per_age_group(
     best = top_n_per_group(known, ["age_group"], [F.desc("n_reviews"), F.asc("movie_id")], n)
     # The broadcast holds one row per age-group label.
     best = best.join(F.broadcast(totals), on="age_group")
-    lists = group_lists(stats, "movie_id", "age_group", "age_groups")
+    labels = [*[label for _, _, label in AGE_GROUPS], "Unknown"]
+    lists = group_lists(stats, "movie_id", "age_group", "age_groups", labels)
     return lists.join(best, on="movie_id").select(
         "age_group",
         "group_total",

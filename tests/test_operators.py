@@ -432,6 +432,19 @@ def test_attach_group_list_keeps_null_keys(spark):
     ]
 
 
+def test_distinct_by_counts_whole_numbers_as_bits(spark):
+    edge = [-(2**63), -(2**63) + 1, -65, -64, -1, 0, 1, 63, 64, 2**63 - 1, None]
+    data = [(v, str(v), (v or 0) % 7) for v in edge + edge]
+    df = spark.createDataFrame(data, "`a.b` long, s string, small short")
+    found = A.distinct_by(df, {"a": "A.b", "s": "s", "n": 3})
+    assert rows(found) == [(10, 11, len({r[2] for r in data}))]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "partial_bit_or" in plan
+    assert rows(A.distinct_by(df, {"a": "a.b"})) == [(10,)]
+    assert rows(A.distinct_by(df.limit(0), {"a": "a.b", "s": "s"})) == [(0, 0)]
+    assert found.dtypes == [("a", "bigint"), ("s", "bigint"), ("n", "bigint")]
+
+
 @pytest.mark.parametrize("n", [1, 63, 64, 65, 200])
 def test_group_lists_of_many_labels(spark, n):
     """Bits in one, two and more numbers, first and last of each included."""
