@@ -20,14 +20,15 @@ put together in one array of its fixed size. The blocks are removed at the end.
 
 Defined cases: a null text is empty, just the end id; repeated rows are written each;
 very long texts fill many blocks; extra columns are left out; an empty table gives no
-shard and an empty result.
+shard and an empty result; a path to read holds no comma, which parts paths there.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,9 @@ from tablekit.scratch import scratch, written
 SHARD_RECORDS = 8_192
 ROUNDS = 6
 KEY = 20_240_229
-#: Records handed on at once when they are read.
-READ_RECORDS = 512
+#: Records handed on at once when a shard is put together or read, and bytes of shards that one task reads.
+READ_RECORDS, PART_BYTES = 512, 1 << 24
+SHARD_FOLDER = re.compile(r"/shard=(\d+)/[^/]*$")
 #: Ids of a block, and how hard blocks and the parts of a shard are compressed.
 BLOCK_IDS, BLOCK_LEVEL, PART_LEVEL = 1 << 19, 6, 3
 
@@ -179,25 +181,30 @@ def write_shards(
                     ]
                     yield pa.RecordBatch.from_arrays(columns, ["shard", "slots", "offsets", "sizes", "ids"])
 
-        def assemble(parts: pa.Table) -> pa.Table:
-            """One shard's records, from the parts of one shard."""
-            unpacker = zstandard.ZstdDecompressor()
-            shard = parts.column("shard")[0].as_py()
-            first = shard * shard_records
-            records = np.zeros((min(shard_records, n - first), stride + 1), np.uint8)
-            ids_of = records[:, :stride]
-            for chunk in parts.to_batches(max_chunksize=64):
-                columns = [chunk.column(c).to_pylist() for c in ("slots", "offsets", "sizes")]
-                for slots, offsets, sizes, data in zip(*columns, chunk.column("ids"), strict=True):
-                    raw, start = np.frombuffer(unpacker.decompress(data.as_buffer()), np.uint8), 0
-                    for slot, offset, size in zip(slots, offsets, sizes, strict=True):
-                        end = start + size * id_bytes
-                        ids_of[slot - first, offset * id_bytes : (offset + size) * id_bytes] = raw[start:end]
-                        start = end
-            ends = np.arange(len(records) + 1, dtype=np.int32) * (stride + 1)
-            values = pa.BinaryArray.from_buffers(pa.binary(), len(records), [None, pa.py_buffer(ends), pa.py_buffer(records)])
-            slots = pa.array(np.arange(first, first + len(records)))
-            return pa.table({"shard": pa.array(np.full(len(records), shard)), "slot": slots, "value": values})
+        def assemble(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """One shard's records, from the parts of one shard, handed on some at a time."""
+            unpacker, records = zstandard.ZstdDecompressor(), None
+            for some in parts:
+                if records is None:
+                    shard = some.column("shard")[0].as_py()
+                    first = shard * shard_records
+                    records = np.zeros((min(shard_records, n - first), stride + 1), np.uint8)
+                    ids_of = records[:, :stride]
+                for start in range(0, len(some), 64):
+                    chunk = some.slice(start, 64)
+                    columns = [chunk.column(c).to_pylist() for c in ("slots", "offsets", "sizes")]
+                    for slots, offsets, sizes, data in zip(*columns, chunk.column("ids"), strict=True):
+                        raw, at = np.frombuffer(unpacker.decompress(data.as_buffer()), np.uint8), 0
+                        for slot, offset, size in zip(slots, offsets, sizes, strict=True):
+                            end = at + size * id_bytes
+                            ids_of[slot - first, offset * id_bytes : (offset + size) * id_bytes] = raw[at:end]
+                            at = end
+            for start in range(0, len(records), READ_RECORDS):
+                some = records[start : start + READ_RECORDS]
+                ends = np.arange(len(some) + 1, dtype=np.int32) * (stride + 1)
+                values = pa.BinaryArray.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(ends), pa.py_buffer(some)])
+                slots = pa.array(np.arange(first + start, first + start + len(some)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), shard)), slots, values], ["shard", "slot", "value"])
 
         longs = ", ".join(f"{c} array<long>" for c in ("slots", "offsets", "sizes"))
         parts = _placed(blocks).mapInArrow(cut, f"shard long, {longs}, ids binary")
@@ -220,57 +227,64 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(f"{path}/manifest").first().value)
 
 
-def read_records(spark: SparkSession, path: str, first_slot: int = 0, last_slot: int | None = None) -> DataFrame:
-    """``slot``, ``sequence`` and ``ids`` of the slots asked for, read from the shards that hold them."""
+def _read(
+    spark: SparkSession, path: str, first_slot: int, last_slot: int | None, rows: Callable[[np.ndarray, np.ndarray, int], Iterable[tuple]], schema: str
+) -> DataFrame:
+    """``slot``, ``sequence`` and what ``rows`` gives for each of some records as rows of bytes, of the slots asked for.
+
+    A shard is handed from its file to Python as it is, so it is no row of a table on its way.
+    """
+    if "," in path:
+        raise ValueError(f"the path {path} holds a comma")
+    ship(spark)
     about = read_manifest(spark, path)
     n, records, length = about["sequences"], about["shard_records"], about["sequence_length"]
     last = n - 1 if last_slot is None else min(last_slot, n - 1)
+    first = max(first_slot, 0)
+    schema = f"slot long, sequence long, {schema}"
+    if first > last:
+        return spark.createDataFrame([], schema)
     id_bytes, total, order = about["id_bytes"], about["tokens"], SlotOrder(n, about["key"])
     stride = about["record_bytes"]
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
-                whole = content.as_buffer()
-                if whole.size % stride:
-                    raise ValueError(f"shard {shard} is not a whole number of records")
-                slots = np.arange(whole.size // stride) + shard * records
-                wanted = np.flatnonzero((slots >= first_slot) & (slots <= last))
-                if not len(wanted):
-                    continue
-                for some in np.split(wanted, range(READ_RECORDS, len(wanted), READ_RECORDS)):
-                    sequences = order.sequences(slots[some])
-                    sizes = np.minimum(length, total - sequences * length) * id_bytes
-                    ids = [whole[k * stride : k * stride + m].to_pybytes() for k, m in zip(some.tolist(), sizes.tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(slots[some]), pa.array(sequences), pa.array(ids, pa.binary())],
-                        ["slot", "sequence", "ids"],
-                    )
+    def split(shard_file: tuple[str, bytes]) -> Iterator[tuple]:
+        file, content = shard_file
+        shard = int(SHARD_FOLDER.search(file)[1])
+        if len(content) % stride:
+            raise ValueError(f"shard {shard} is not a whole number of records")
+        whole = np.frombuffer(content, np.uint8).reshape(-1, stride)
+        begin = shard * records
+        for start in range(max(first - begin, 0), min(last + 1 - begin, len(whole)), READ_RECORDS):
+            some = whole[start : min(start + READ_RECORDS, last + 1 - begin)]
+            slots = np.arange(len(some)) + begin + start
+            sequences = order.sequences(slots)
+            sizes = np.minimum(length, total - sequences * length)
+            for slot, sequence, row in zip(slots.tolist(), sequences.tolist(), rows(some, sizes, id_bytes), strict=True):
+                yield slot, sequence, *row
 
-    ship(spark)
-    if not n:
-        return spark.createDataFrame([], "slot long, sequence long, ids binary")
-    files = spark.read.format("binaryFile").load(f"{path}/shards")
-    wanted = (F.col("shard") >= first_slot // records) & (F.col("shard") <= last // records)
-    return files.where(wanted).select(F.col("shard").cast("long"), "content").mapInArrow(
-        split, "slot long, sequence long, ids binary"
-    )
+    low, high = first // records, last // records
+    wanted = "*" if (low, high) == (0, (n - 1) // records) else f"{{{','.join(map(str, range(low, high + 1)))}}}"
+    parts = -(-(high - low + 1) * records * stride // PART_BYTES)
+    files = spark.sparkContext.binaryFiles(f"{path}/shards/shard={wanted}", parts)
+    return spark.createDataFrame(files.flatMap(split), schema, verifySchema=False)
 
 
-def record_digests(records: DataFrame, id_bytes: int = 2) -> DataFrame:
-    """``slot``, ``sequence``, ``n_ids`` and ``ids_crc32`` (of the ids as 4 bytes each)."""
+def _ids(records: np.ndarray, sizes: np.ndarray, id_bytes: int) -> Iterator[tuple]:
+    for record, size in zip(records, sizes.tolist(), strict=True):
+        yield (bytearray(record[: size * id_bytes]),)
+
+
+def _digests(records: np.ndarray, sizes: np.ndarray, id_bytes: int) -> Iterator[tuple]:
+    wide = np.ascontiguousarray(records[:, : records.shape[1] // id_bytes * id_bytes]).view(f"<u{id_bytes}").astype("<u4")
+    for ids, size in zip(wide, sizes.tolist(), strict=True):
+        yield size, zlib.crc32(ids[:size])
+
+
+def read_records(spark: SparkSession, path: str, first_slot: int = 0, last_slot: int | None = None) -> DataFrame:
+    """``slot``, ``sequence`` and ``ids`` of the slots asked for, read from the shards that hold them."""
+    return _read(spark, path, first_slot, last_slot, _ids, "ids binary")
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [np.frombuffer(x, f"<u{id_bytes}") for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("slot"),
-                    batch.column("sequence"),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                ],
-                ["slot", "sequence", "n_ids", "ids_crc32"],
-            )
 
-    return records.mapInArrow(digest, "slot long, sequence long, n_ids long, ids_crc32 long")
+def read_digests(spark: SparkSession, path: str, first_slot: int = 0, last_slot: int | None = None) -> DataFrame:
+    """As :func:`read_records`, with ``n_ids`` and ``ids_crc32`` (of the ids as 4 bytes each) in place of the ids."""
+    return _read(spark, path, first_slot, last_slot, _digests, "n_ids long, ids_crc32 long")

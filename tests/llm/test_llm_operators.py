@@ -414,6 +414,27 @@ def test_token_shards_of_awkward_rows(spark, awkward, monkeypatch, block_ids):
     assert collections.Counter(tuple(stream[a:b].tolist()) for a, b in zip(starts, ends, strict=True)) == want
 
 
+@pytest.mark.parametrize("id_bytes", [2, 4])
+def test_shards_are_read_without_rows_of_whole_shards(spark, id_bytes):
+    docs = spark.range(300).selectExpr("repeat(concat('word', id, ' '), 1 + cast(id % 40 as int)) as text")
+    path = new_path(spark, "shards")
+    about = token_output.write_shards(docs, path, sequence_length=16, shard_records=100, id_bytes=id_bytes)
+    assert about["sequences"] > 300
+    digests, records = token_output.read_digests(spark, path), token_output.read_records(spark, path)
+    for df in digests, records:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "binaryFile" not in plan and "MapInArrow" not in plan
+    want = {}
+    for r in records.collect():
+        ids = np.frombuffer(bytes(r.ids), f"<u{id_bytes}")
+        want[r.slot] = (r.sequence, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+    assert len(want) == about["sequences"]
+    assert {r.slot: tuple(r)[1:] for r in digests.collect()} == want
+    some = token_output.read_digests(spark, path, 95, 205).collect()
+    assert {r.slot: tuple(r)[1:] for r in some} == {slot: want[slot] for slot in range(95, 206)}
+    assert token_output.read_records(spark, path, about["sequences"]).count() == 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 65_537])
 def test_slots_are_a_permutation(n):
     order = token_output.SlotOrder(n)
