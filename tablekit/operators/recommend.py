@@ -6,14 +6,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.operators.factors import BLOCK_RATINGS, fit_factors
 from tablekit.operators.ranking import add_index
-from tablekit.scratch import shared_folder
+from tablekit.scratch import new_path, remove, shared_folder
 
 _MAX_INT = 2**31 - 1
 
+# Each of the many half steps over files takes a second or more however few the ratings.
+LIBRARY_RATINGS = 5_000_000
+
 
 def too_wide(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """The id columns that hold anything but 32-bit integers; one pass over the table."""
@@ -90,6 +94,24 @@ class Recommender:
         return _from_id(rows, "movie_id", self.items).select("user_id", "movie_id", "rating")
 
 
+def _checked(df: DataFrame) -> DataFrame:
+    """The triples; as for the library, a missing value is an error."""
+
+    def known(column: Column, valid: Column, message: str) -> Column:
+        return F.when(valid, column).otherwise(F.raise_error(F.lit(message)))
+
+    rating = F.col("rating").cast("float")
+    number = rating.isNotNull() & ~F.isnan(rating) & (F.abs(rating) != F.lit(float("inf")))
+    ids = [known(F.col(c), F.col(c).isNotNull(), f"{c}: ids must not be NULL").alias(c) for c in ("user_id", "movie_id")]
+    return df.select(*ids, known(rating, number, "ratings must be numbers").alias("rating"))
+
+
+def _model(rank: int, users: DataFrame, items: DataFrame) -> ALSModel:
+    """The library's model over tables ``(id, features)``."""
+    made = users.sparkSession._jvm.org.apache.spark.ml.recommendation.ALSModel("als", rank, users._jdf, items._jdf)
+    return ALSModel(made.setUserCol("user_id").setItemCol("movie_id"))
+
+
 def als_fit(
     ratings: DataFrame,
     rank: int = 20,
@@ -97,21 +119,37 @@ def als_fit(
     reg: float = 0.01,
     seed: int = 42,
     blocks: int | None = None,
+    library_ratings: int = LIBRARY_RATINGS,
 ) -> Recommender:
     """Fit explicit ratings ``(user_id, movie_id, rating)``.
 
-    Factors are split into ``blocks`` blocks per side, by default one per core
-    of the cluster, and the iterations are checkpointed in the shared folder.
+    Up to ``library_ratings`` ratings are fitted by the library, whose tasks hold a block
+    of them and nearly all factors as objects. More are fitted by :func:`fit_factors`: the
+    same least squares from other starting factors, with files between half steps.
+
+    Factors are split into ``blocks`` blocks per side, by default one per core of the
+    cluster, for the second way more where a block would have above ``BLOCK_RATINGS``
+    ratings. The library's iterations are checkpointed in the shared folder.
     """
-    context = ratings.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(ratings.sparkSession))
+    spark, context = ratings.sparkSession, ratings.sparkSession.sparkContext
+    path = new_path(spark, "ratings")
+    ratings = ratings.select("user_id", "movie_id", "rating")
+    ratings.write.parquet(path)
+    ratings = spark.read.schema(ratings.schema).parquet(path)
     # The solver stores ids as 32-bit integers; others are numbered first.
     wide = too_wide(ratings, ["user_id", "movie_id"])
     users, items = (
         dense_ids(ratings, c) if c in wide else None for c in ("user_id", "movie_id")
     )
     triples = _to_id(_to_id(ratings, "user_id", users), "movie_id", items)
+    n_ratings = ratings.count()
+    if n_ratings > library_ratings:
+        blocks = blocks or max(context.defaultParallelism, -(-n_ratings // BLOCK_RATINGS))
+        factors = fit_factors(_checked(triples), rank, iterations, reg, seed, blocks)
+        remove(spark, path)
+        return Recommender(_model(rank, *factors), users, items)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(spark))
     blocks = blocks or context.defaultParallelism
     als = ALS(
         rank=rank,
